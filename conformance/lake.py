@@ -64,16 +64,18 @@ class Lake:
         tables["stores"] = tables["stores"].filter("store_format <> 'kiosk'")
         return tables
 
-    def models(self) -> dict[str, DataFrame]:
-        """Every model that carries tests."""
-        models = {f"stg_{e}": self.staged(e) for e in ENTITIES}
-        models["dim_customer"] = marts.dim_customer(models["stg_customers"])
-        models["dim_product"] = marts.dim_product(models["stg_products"])
-        models["dim_stores"] = marts.dim_stores(models["stg_stores"])
-        models["fct_sales"] = self.sales
-        models["fct_inventory_snapshot"] = marts.fct_inventory_snapshot(self.position)
-        models["mart_daily_retail_kpis"] = marts.mart_daily_retail_kpis(self.sales)
-        models["mart_promotion_performance"] = marts.mart_promotion_performance(
-            models["stg_promotions"], self.revenue
-        )
-        return models
+    def model(self, name: str) -> DataFrame:
+        """A staging or gold model by name."""
+        if name.startswith("stg_"):
+            return self.staged(name.removeprefix("stg_"))
+        return {
+            "dim_customer": lambda: marts.dim_customer(self.staged("customers")),
+            "dim_product": lambda: marts.dim_product(self.staged("products")),
+            "dim_stores": lambda: marts.dim_stores(self.staged("stores")),
+            "fct_sales": lambda: self.sales,
+            "fct_inventory_snapshot": lambda: marts.fct_inventory_snapshot(self.position),
+            "mart_daily_retail_kpis": lambda: marts.mart_daily_retail_kpis(self.sales),
+            "mart_promotion_performance": lambda: marts.mart_promotion_performance(
+                self.staged("promotions"), self.revenue
+            ),
+        }[name]()

@@ -42,13 +42,17 @@ def safe_cast(column: Column, source: T.DataType, target: T.DataType) -> Column:
     return column.cast(T.StringType()).try_cast(target)
 
 
+def exact(column: Column) -> Column:
+    """A double amount in decimal. NaN and infinite amounts have no decimal form and become NULL."""
+    return column.try_cast(EXACT)
+
+
 def exact_sum(column: Column) -> Column:
     """Sum of a double amount that does not depend on the order of the rows.
 
-    Adds in decimal, returns double; NULL when there is no value. NaN and infinite amounts have
-    no decimal form and do not take part.
+    Adds in decimal, returns double; NULL when there is no value.
     """
-    return F.sum(column.try_cast(EXACT)).cast("double")
+    return F.sum(exact(column)).cast("double")
 
 
 def surrogate_key(*columns: str) -> Column:

@@ -54,13 +54,13 @@ class Rule:
         # The texts of the report.
         if self.is_missing(df):
             return f"Column does not exist: {self.column}"
-        return {
-            NOT_NULL: "Null check",
-            UNIQUE: "Uniqueness check",
-            MIN_VALUE: f"Minimum value check: >= {self.argument}",
-            ACCEPTED_VALUES: f"Accepted values: {list(self.argument or ())}",
-            REGEX: f"Regex pattern: {self.argument}",
-        }[self.name]
+        if self.name == MIN_VALUE:
+            return f"Minimum value check: >= {self.argument}"
+        if self.name == ACCEPTED_VALUES:
+            return f"Accepted values: {list(self.argument)}"
+        if self.name == REGEX:
+            return f"Regex pattern: {self.argument}"
+        return "Null check" if self.name == NOT_NULL else "Uniqueness check"
 
     def fails(self, df: DataFrame) -> Column:
         """Predicate that is true, never NULL, on a row that breaks the rule.

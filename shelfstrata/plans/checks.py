@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from shelfstrata.functions.columns import exact_sum
+from shelfstrata.functions.columns import exact
 
 HALF_A_CENT = 0.005
 
@@ -50,39 +50,37 @@ def order_header_reconcile(
 ) -> DataFrame:
     """Orders whose header amounts differ from the sums of their lines, also if one side is absent.
 
-    Lines are added up per order before they meet the headers.
+    Lines are added up per order before they meet the headers. Differences are taken in decimal, so
+    that one of just the tolerance is judged the same everywhere.
     """
+    amounts = ("gross", "discount", "tax")
     lines = order_items.groupBy("order_id").agg(
-        exact_sum(F.col("gross_amount")).alias("lines_gross"),
-        exact_sum(F.col("discount_amount")).alias("lines_discount"),
-        exact_sum(F.col("tax_amount")).alias("lines_tax"),
+        *[F.sum(exact(F.col(f"{a}_amount"))).alias(f"lines_{a}") for a in amounts]
     )
     headers = orders.select(
         "order_id",
-        F.col("gross_amount").alias("header_gross"),
-        F.col("discount_amount").alias("header_discount"),
-        F.col("tax_amount").alias("header_tax"),
-        F.col("net_amount").alias("header_net"),
+        *[exact(F.col(f"{a}_amount")).alias(f"header_{a}") for a in (*amounts, "net")],
         F.lit(True).alias("_header"),
     )
+    lines = lines.withColumn("lines_net", F.col("lines_gross") - F.col("lines_discount"))
     both = headers.join(lines.withColumn("_lines", F.lit(True)), "order_id", "full_outer").select(
         "order_id",
         F.col("_header").isNotNull().alias("has_header"),
         F.col("_lines").isNotNull().alias("has_lines"),
-        *[_difference(a) for a in ("gross", "discount", "tax")],
-        (F.col("header_net") - (F.col("lines_gross") - F.col("lines_discount"))).alias(
-            "net_difference"
-        ),
+        *[
+            (F.col(f"header_{a}") - F.col(f"lines_{a}")).alias(f"{a}_difference")
+            for a in (*amounts, "net")
+        ],
+    )
+    differs = " or ".join(
+        f"abs({a}_difference) > cast({tolerance} as decimal(28,6))" for a in (*amounts, "net")
     )
-    amounts = ("gross", "discount", "tax", "net")
-    differs = " or ".join(f"abs({a}_difference) > {tolerance}" for a in amounts)
     return both.filter(f"not has_header or not has_lines or {differs}").select(
         "order_id",
         "has_header",
         "has_lines",
-        *[F.round(f"{a}_difference", 2).alias(f"{a}_difference") for a in amounts],
+        *[
+            F.col(f"{a}_difference").cast("double").alias(f"{a}_difference")
+            for a in (*amounts, "net")
+        ],
     )
-
-
-def _difference(amount: str) -> Column:
-    return (F.col(f"header_{amount}") - F.col(f"lines_{amount}")).alias(f"{amount}_difference")

@@ -70,7 +70,7 @@ def purchase_funnel(events: DataFrame) -> DataFrame:
     )
 
 
-def underperformers(sales: DataFrame, stores: DataFrame, below: float = 0.9) -> DataFrame:
+def underperformers(sales: DataFrame, stores: DataFrame, below: float = 1.0) -> DataFrame:
     """Stores whose net revenue is under ``below`` times the average of their format.
 
     Sales are added up per store first; the averages are one row per format.
