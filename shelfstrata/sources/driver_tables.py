@@ -78,10 +78,9 @@ select {_id('PRODUCT', 'p_partkey', 6)} as product_id,
                    else p_type end as category,
        p_type || '/' || cast(p_size as string) as subcategory,
        p_brand as brand,
-       cast(p_retailprice as decimal(12,2)) as unit_price,
-       case when p_partkey % 211 = 3 then cast(-1 as decimal(16,4))
-            else cast(cast(p_retailprice as decimal(12,2)) * cast(0.70 as decimal(4,2)) as decimal(16,4))
-            end as cost_price,
+       floor(p_retailprice * 100 + 0.5e0) / 1e2 as unit_price,
+       case when p_partkey % 211 = 3 then -1e0
+            else floor(p_retailprice * 100 + 0.5e0) * 70 / 1e4 end as cost_price,
        p_size > 1 as is_active,
        cast(date '1994-06-01' + cast(p_partkey % 200 as int) as timestamp) as creation_datetime
 from {{part}}
@@ -100,12 +99,10 @@ select {_id('ORDER', 'o_orderkey', 8)} as order_id,
                           when 'P' then 'returned' end as status,
        cast(o_orderdate as timestamp) as order_timestamp,
        case when o_orderkey % 211 = 2 then null else 'GBP' end as currency,
-       cast(o_totalprice as decimal(12,2)) as gross_amount,
-       case when o_orderkey % 333 = 7 then cast(-1 as decimal(12,2))
-            else cast(0 as decimal(12,2)) end as discount_amount,
-       cast(o_totalprice as decimal(12,2)) as net_amount,
-       cast(cast(o_totalprice as decimal(12,2)) * cast(0.20 as decimal(4,2)) as decimal(16,4))
-           as tax_amount,
+       floor(o_totalprice * 100 + 0.5e0) / 1e2 as gross_amount,
+       case when o_orderkey % 333 = 7 then -1e0 else 0e0 end as discount_amount,
+       floor(o_totalprice * 100 + 0.5e0) / 1e2 as net_amount,
+       floor(o_totalprice * 100 + 0.5e0) * 20 / 1e4 as tax_amount,
        case when o_orderkey % 97 = 0 then 'cheque'
             when o_orderkey % 6 = 0 then 'credit_card'
             when o_orderkey % 6 = 1 then 'debit_card'
@@ -122,20 +119,22 @@ select {_id('ORDER', 'o_orderkey', 8)} as order_id,
 from {{orders}}
 """
 
+# Whole cents and per cents, so that amounts come out of exact arithmetic in both engines.
+_CENTS = "cast(floor(l_extendedprice * 100 + 0.5e0) as bigint)"
+_DISCOUNT_PCT = "cast(floor(l_discount * 100 + 0.5e0) as bigint)"
+_TAX_PCT = "cast(floor(l_tax * 100 + 0.5e0) as bigint)"
+
 _ORDER_ITEMS = f"""
 select {_id('ORDER', 'l_orderkey', 8)} || '-' || {_padded('l_linenumber', 3)} as order_item_id,
        {_id('ORDER', 'l_orderkey', 8)} as order_id,
        l_linenumber as line_number,
        {_id('PRODUCT', 'l_partkey', 6)} as product_id,
        cast(l_quantity as int) as quantity,
-       cast(floor(l_extendedprice * 100 / l_quantity) / 100 as decimal(12,2)) as unit_price,
-       cast(l_extendedprice as decimal(12,2)) as gross_amount,
-       cast(cast(l_extendedprice as decimal(12,2)) * cast(l_discount as decimal(4,2))
-            as decimal(16,4)) as discount_amount,
-       cast(cast(l_extendedprice as decimal(12,2)) * (1 - cast(l_discount as decimal(4,2)))
-            as decimal(16,4)) as net_amount,
-       cast(cast(cast(l_extendedprice as decimal(12,2)) * (1 - cast(l_discount as decimal(4,2)))
-                 as decimal(16,4)) * cast(l_tax as decimal(4,2)) as decimal(18,6)) as tax_amount
+       floor({_CENTS} / l_quantity) / 1e2 as unit_price,
+       {_CENTS} / 1e2 as gross_amount,
+       {_CENTS} * {_DISCOUNT_PCT} / 1e4 as discount_amount,
+       {_CENTS} * (100 - {_DISCOUNT_PCT}) / 1e4 as net_amount,
+       {_CENTS} * (100 - {_DISCOUNT_PCT}) * {_TAX_PCT} / 1e6 as tax_amount
 from {{lineitem}}
 """
 
