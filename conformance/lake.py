@@ -15,6 +15,9 @@ from shelfstrata.sources.driver_tables import read_entity
 
 
 class Lake:
+    """Layers used several times in one query are shuffled once: their exchanges are the same, and
+    Spark reuses them."""
+
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark = spark
         self.sf_dir = sf_dir

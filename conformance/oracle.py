@@ -243,12 +243,13 @@ def _quarantine(entity: str) -> str:
     )
 
 
-def _quarantine_summary() -> str:
+def _quarantine_summary(entities=tuple(CONTRACTS)) -> str:
     lines = [
         f"select {_text(c.table)} as table_name, {_text(rule.name)} as rule_name, "
         f"{_text(rule.column)} as column_name, count(*) as row_count "
         f"from ({_failed(c.table, rule)}) having count(*) > 0"
         for c in CONTRACTS.values()
+        if c.table in entities
         for rule in c.rules
     ]
     return "\nunion all ".join(lines)
@@ -390,6 +391,7 @@ def all_oracles() -> dict[str, str]:
     for entity in ("customers", "orders", "order_items", "products"):
         sql[f"quarantine_{entity}"] = _quarantine(entity)
     sql["quarantine_summary"] = _quarantine_summary()
+    sql["quarantine_sink"] = _quarantine_summary(["orders"])
     sql["surrogate_key"] = (
         f"select order_id, {_key('order_id', 'store_id', 'channel')} as order_key from typed_orders"
     )

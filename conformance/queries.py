@@ -19,6 +19,7 @@ from shelfstrata.plans import checks, insights, intermediate, marts
 from shelfstrata.plans.bronze import SOURCE_FILES, ingest_all
 from shelfstrata.schemas import ENTITIES, SILVER_METADATA
 from shelfstrata.sources import landing, tables
+from shelfstrata.sources.quarantine import read_quarantine, write_quarantine
 from shelfstrata.sources.scratch import scratch_folder
 from shelfstrata.streaming import events as streams
 
@@ -165,7 +166,9 @@ def relationship_report(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def quality_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return v.gate_summary(validation_report(spark, sf_dir), relationship_report(spark, sf_dir))
+    lake = Lake(spark, sf_dir)
+    checks = v.report_all({e: lake.silver(e) for e in ENTITIES}, list(CONTRACTS.values()))
+    return v.gate_summary(checks, v.relationship_report(lake.related(), RELATIONSHIPS))
 
 
 def orphan_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -184,6 +187,14 @@ def quarantine_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summary
 
 
+def quarantine_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Failing orders written to the quarantine, read back and counted."""
+    base = scratch_folder(spark, "quarantine")
+    failing = q.quarantine(Lake(spark, sf_dir).conformed("orders"), CONTRACTS["orders"])
+    write_quarantine(failing, base, "orders", "run1")
+    return q.summarise(read_quarantine(spark, base, "orders", "run1"))
+
+
 def surrogate_key_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = Lake(spark, sf_dir).conformed("orders")
     return orders.select(
@@ -377,6 +388,7 @@ def all_queries() -> dict[str, Query]:
                 ("customers", "orders", "order_items", "products")}
     queries |= {
         "quarantine_summary": quarantine_summary,
+        "quarantine_sink": quarantine_sink,
         "surrogate_key": surrogate_key_query,
     }
     queries |= {f"stg_{e}": _staged(e) for e in ENTITIES}

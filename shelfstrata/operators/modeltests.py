@@ -13,7 +13,7 @@ from typing import Any
 
 from pyspark.sql import DataFrame, functions as F
 
-from shelfstrata.functions.columns import named
+from shelfstrata.functions.columns import named, sql_text
 from shelfstrata.operators.rules import ACCEPTED_VALUES, MIN_VALUE, NOT_NULL, REGEX, UNIQUE, Rule
 from shelfstrata.operators.validate import orphan_counts
 
@@ -70,14 +70,14 @@ def model_test_report(models: Mapping[str, DataFrame], tests: Sequence[ModelTest
                 *[F.count_if(t.rule.fails(df)).alias(f"failures_{i}") for i, t in row_tests]
             )
             results = [_result(i, t, f"failures_{i}") for i, t in row_tests]
-            parts.append(counted.select(F.inline(F.array(*results))))
+            parts.append(counted.selectExpr(f"inline(array({', '.join(results)}))"))
         for i, test in mine:
             if (i, test) in row_tests:
                 continue
             counted = _failing_units(models, test).agg(
                 F.coalesce(F.sum("failures"), F.lit(0)).alias("failures")
             )
-            parts.append(counted.select(F.inline(F.array(_result(i, test, "failures")))))
+            parts.append(counted.selectExpr(f"inline(array({_result(i, test, 'failures')}))"))
     results = reduce(DataFrame.unionByName, parts)
     # One row per test, so one partition holds them all.
     return results.repartition(1).sortWithinPartitions("_position").drop("_position")
@@ -97,13 +97,9 @@ def _failing_units(models: Mapping[str, DataFrame], test: ModelTest) -> DataFram
     return groups.select(F.lit(1).alias("failures"))
 
 
-def _result(position: int, test: ModelTest, failures: str):
-    return F.struct(
-        F.lit(position).alias("_position"),
-        F.lit(test.model).alias("model_name"),
-        F.lit(test.column).alias("column_name"),
-        F.lit(test.name).alias("test_name"),
-        F.lit(test.unit).alias("unit"),
-        F.col(failures).cast("bigint").alias("failures"),
-        (F.col(failures) == 0).alias("passed"),
+def _result(position: int, test: ModelTest, failures: str) -> str:
+    return (
+        f"struct({position} as _position, {sql_text(test.model)} as model_name, "
+        f"{sql_text(test.column)} as column_name, {sql_text(test.name)} as test_name, "
+        f"{sql_text(test.unit)} as unit, bigint({failures}) as failures, {failures} = 0 as passed)"
     )

@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from shelfstrata.functions.columns import named
+from shelfstrata.functions.columns import named, sql_text
 from shelfstrata.operators.rules import Contract, Relationship, Rule
 
 
@@ -75,11 +75,11 @@ def quarantine(df: DataFrame, contract: Contract) -> DataFrame:
 
 
 def _reason(df: DataFrame, contract: Contract, rule: Rule) -> Column:
-    return F.struct(
-        F.lit(contract.table).alias("_quarantine_table_name"),
-        F.lit(rule.column).alias("_quarantine_column_name"),
-        F.lit(rule.name).alias("_quarantine_rule_name"),
-        F.lit(rule.details(df)).alias("_quarantine_failure_reason"),
+    return F.expr(
+        f"struct({sql_text(contract.table)} as _quarantine_table_name, "
+        f"{sql_text(rule.column)} as _quarantine_column_name, "
+        f"{sql_text(rule.name)} as _quarantine_rule_name, "
+        f"{sql_text(rule.details(df))} as _quarantine_failure_reason)"
     )
 
 

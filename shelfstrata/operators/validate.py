@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from shelfstrata.functions.columns import named
+from shelfstrata.functions.columns import named, sql_text
 from shelfstrata.operators.rules import Contract, Relationship, Rule
 
 REPORT_COLUMNS = (
@@ -66,11 +66,8 @@ def _checks(df: DataFrame, contract: Contract, start: int) -> DataFrame:
             F.count(F.lit(1)).alias("total"),
             *[F.count_if(rule.fails(df)).alias(f"failed_{i}") for i, rule in row_rules],
         )
-        checks = [
-            _check(df, contract.table, rule, i, F.col(f"failed_{i}"), F.col("total"))
-            for i, rule in row_rules
-        ]
-        parts.append(counted.select(F.inline(F.array(*checks))))
+        checks = [_check(df, contract.table, rule, i, f"failed_{i}") for i, rule in row_rules]
+        parts.append(counted.selectExpr(f"inline(array({', '.join(checks)}))"))
     for i, rule in numbered:
         if rule.is_row_rule or rule.is_missing(df):
             continue
@@ -78,8 +75,8 @@ def _checks(df: DataFrame, contract: Contract, start: int) -> DataFrame:
             F.coalesce(F.sum("rows"), F.lit(0)).alias("total"),
             F.coalesce(F.sum(F.when(_is_duplicated(rule), F.col("rows"))), F.lit(0)).alias("failed"),
         )
-        check = _check(df, contract.table, rule, i, F.col("failed"), F.col("total"))
-        parts.append(counted.select(F.inline(F.array(check))))
+        check = _check(df, contract.table, rule, i, "failed")
+        parts.append(counted.selectExpr(f"inline(array({check}))"))
     if not parts:
         raise ValueError(f"Contract has no rules: {contract.table}")
     return reduce(DataFrame.unionByName, parts)
@@ -97,19 +94,14 @@ def _is_duplicated(rule: Rule) -> Column:
     )
 
 
-def _check(
-    df: DataFrame, table: str, rule: Rule, position: int, failed: Column, total: Column
-) -> Column:
-    passed = F.lit(False) if rule.is_missing(df) else failed == 0
-    return F.struct(
-        F.lit(position).alias("_position"),
-        F.lit(table).alias("table_name"),
-        F.lit(rule.column).alias("column_name"),
-        F.lit(rule.name).alias("rule_name"),
-        passed.alias("passed"),
-        failed.cast("bigint").alias("failed_count"),
-        total.cast("bigint").alias("total_count"),
-        F.lit(rule.details(df)).alias("details"),
+def _check(df: DataFrame, table: str, rule: Rule, position: int, failed: str) -> str:
+    """Struct of one line of the report, over columns ``total`` and ``failed``."""
+    passed = "false" if rule.is_missing(df) else f"{failed} = 0"
+    return (
+        f"struct({position} as _position, {sql_text(table)} as table_name, "
+        f"{sql_text(rule.column)} as column_name, {sql_text(rule.name)} as rule_name, "
+        f"{passed} as passed, {failed} as failed_count, total as total_count, "
+        f"{sql_text(rule.details(df))} as details)"
     )
 
 
@@ -198,17 +190,17 @@ def relationship_report(
             F.count_if("is_orphan").alias("failed_count"), F.count(F.lit(1)).alias("child_count")
         )
         parts.append(
-            counted.select(
-                F.lit(position).alias("_position"),
-                F.lit(relationship.name).alias("table_relationship_name"),
-                F.lit(relationship.child_table).alias("child_table"),
-                F.lit(relationship.child_column).alias("child_column"),
-                F.lit(relationship.parent_table).alias("parent_table"),
-                F.lit(relationship.parent_column).alias("parent_column"),
-                (F.col("failed_count") == 0).alias("passed"),
+            counted.selectExpr(
+                f"{position} as _position",
+                f"{sql_text(relationship.name)} as table_relationship_name",
+                f"{sql_text(relationship.child_table)} as child_table",
+                f"{sql_text(relationship.child_column)} as child_column",
+                f"{sql_text(relationship.parent_table)} as parent_table",
+                f"{sql_text(relationship.parent_column)} as parent_column",
+                "failed_count = 0 as passed",
                 "failed_count",
                 "child_count",
-                F.lit(relationship.details).alias("details"),
+                f"{sql_text(relationship.details)} as details",
             )
         )
     if not parts:

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Mapping
+from dataclasses import dataclass
+
+from pyspark.sql import DataFrame, SparkSession
 
 from shelfstrata.operators.conform import conform, stamp_silver
 from shelfstrata.operators.dedup import keep_latest
 from shelfstrata.schemas import ENTITIES
+from shelfstrata.sources.tables import read_table, table_path, write_table
 
 
 def to_silver(bronze: DataFrame, entity: str) -> DataFrame:
@@ -16,3 +20,36 @@ def to_silver(bronze: DataFrame, entity: str) -> DataFrame:
     declared = ENTITIES[entity]
     conformed = conform(bronze, declared.schema)
     return stamp_silver(keep_latest(conformed, declared.key, declared.recency))
+
+
+@dataclass(frozen=True)
+class Transformed:
+    """What one silver transformation wrote."""
+
+    table_name: str
+    silver_path: str
+    row_count: int
+    column_count: int
+
+
+def transform(
+    spark: SparkSession,
+    entity: str,
+    bronze_base: str,
+    silver_base: str,
+    bronze_fmt: str = "parquet",
+    silver_fmt: str = "parquet",
+    options: Mapping[str, str] | None = None,
+) -> Transformed:
+    """Read one bronze table and overwrite its silver table; rows are counted by the write."""
+    silver = to_silver(read_table(spark, bronze_base, entity, bronze_fmt), entity)
+    path = table_path(silver_base, entity)
+    rows = write_table(silver, path, silver_fmt, options=options)
+    return Transformed(entity, path, rows, len(silver.columns))
+
+
+def transform_all(
+    spark: SparkSession, bronze_base: str, silver_base: str, **formats: str
+) -> list[Transformed]:
+    """Every entity in turn."""
+    return [transform(spark, e, bronze_base, silver_base, **formats) for e in ENTITIES]
