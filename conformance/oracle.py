@@ -447,6 +447,9 @@ def all_oracles() -> dict[str, str]:
     sql["csv_roundtrip"] = "select {} from raw_customers".format(
         ", ".join(f"cast({c} as varchar) as {c}" for c in _columns("customers"))
     )
+    sql["csv_roundtrip_large"] = "select {} from raw_orders".format(
+        ", ".join(f"cast({c} as varchar) as {c}" for c in _columns("orders"))
+    )
     sql["bronze_lineage"] = (
         "select *, 'customers' as _bronze_source_name, "
         "'customer.parquet' as _bronze_source_file from customer"

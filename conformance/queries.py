@@ -19,6 +19,7 @@ from shelfstrata.plans import checks, insights, intermediate, marts
 from shelfstrata.plans.bronze import SOURCE_FILES, ingest_all
 from shelfstrata.schemas import ENTITIES, SILVER_METADATA
 from shelfstrata.sources import landing, tables
+from shelfstrata.sources.large_csv import read_large_csv
 from shelfstrata.sources.quarantine import read_quarantine, write_quarantine
 from shelfstrata.sources.scratch import scratch_folder
 from shelfstrata.streaming import events as streams
@@ -217,6 +218,12 @@ def csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landing.read_csv(spark, path)
 
 
+def csv_roundtrip_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same with orders, whose notes break lines, each file read by as many tasks as it has blocks."""
+    path = landing.write_csv(Lake(spark, sf_dir).text("orders"), scratch_folder(spark, "csv"))
+    return read_large_csv(spark, path).drop("_path")
+
+
 def bronze_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
     bronze = landing.with_lineage(Lake(spark, sf_dir).table("customer"), "customers")
     return bronze.drop("_bronze_source_path", "_bronze_ingested_at", "_bronze_ingestion_date")
@@ -408,6 +415,7 @@ def all_queries() -> dict[str, Query]:
         "promotion_active": promotion_active,
         "order_header_reconcile": order_header_reconcile,
         "csv_roundtrip": csv_roundtrip,
+        "csv_roundtrip_large": csv_roundtrip_large,
         "bronze_lineage": bronze_lineage,
         "bronze_ingest_audit": bronze_ingest_audit,
         "roundtrip_reconcile": roundtrip_reconcile,

@@ -6,7 +6,7 @@ from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-_CSV = {"header": "true", "quote": '"', "escape": '"'}
+CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"'}
 
 
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -17,7 +17,7 @@ def read_csv(spark: SparkSession, path: str) -> DataFrame:
     or use ``read_large_csv`` when single files are large.
     """
     return (
-        spark.read.options(**_CSV)
+        spark.read.options(**CSV_OPTIONS)
         .option("multiLine", True)
         .option("enforceSchema", False)
         .csv(path)
@@ -26,14 +26,16 @@ def read_csv(spark: SparkSession, path: str) -> DataFrame:
 
 def write_csv(df: DataFrame, path: str) -> str:
     """Write CSV that ``read_csv`` reads back as it was, with NULL as an empty field."""
-    df.write.mode("overwrite").options(**_CSV).csv(path)
+    df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
     return path
 
 
-def with_lineage(df: DataFrame, source_name: str, at: datetime | None = None) -> DataFrame:
+def with_lineage(
+    df: DataFrame, source_name: str, at: datetime | None = None, path: Column | None = None
+) -> DataFrame:
     """Add source name, file name and path, and the instant and date of ingestion as ISO text.
 
-    ``df`` must come straight from files: the path of each row is taken from the file it was read
+    ``df`` must come straight from files, unless ``path`` gives the column to take: the path of each row is taken from the file it was read
     from, so folders and patterns of many files keep their lineage. In a stream the instant is that
     of each batch.
     """
@@ -43,7 +45,7 @@ def with_lineage(df: DataFrame, source_name: str, at: datetime | None = None) ->
     else:
         at = at or datetime.now(tz=timezone.utc)
         instant, day = F.lit(at.isoformat()), F.lit(at.date().isoformat())
-    path = _decoded(F.col("_metadata.file_path"))
+    path = _decoded(F.col("_metadata.file_path") if path is None else path)
     return df.select(
         "*",
         F.lit(source_name).alias("_bronze_source_name"),

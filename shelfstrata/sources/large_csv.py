@@ -1,0 +1,99 @@
+"""CSV files with line breaks inside fields, each read by many tasks.
+
+Whether a line begins a record depends on all quotes before it. Quotes are counted per block of the
+file, the counts of blocks are added up along each file, and with what each block starts from its lines
+find their records on their own. Only records that cross the border of two blocks are put together
+after that, at most one per border.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
+
+from shelfstrata.functions.joins import broadcast_if_small
+from shelfstrata.sources.landing import CSV_OPTIONS, read_csv
+
+_BLOCK = ["_path", "_block"]
+
+
+def read_large_csv(spark: SparkSession, path: str) -> DataFrame:
+    """As ``read_csv``, with the path of each row's file in ``_path``.
+
+    A block is what one task reads (``spark.sql.files.maxPartitionBytes``); its lines are held
+    together by one shuffle of the text.
+    """
+    columns = read_csv(spark, path).columns
+    records = _records(_lines(spark, path))
+    schema = ", ".join(f"`{c}` string" for c in columns)
+    options = {**CSV_OPTIONS, "header": "false", "multiLine": "true", "mode": "FAILFAST"}
+    parsed = records.select("_path", "_is_header", F.from_csv("_text", schema, options).alias("_row"))
+    fields = F.array(*[F.col("_row").getField(c) for c in columns])
+    same_header = ~F.col("_is_header") | (fields == F.array(*[F.lit(c) for c in columns]))
+    return parsed.filter(
+        F.assert_true(same_header, "Files of one source differ in their header").isNull()
+        & ~F.col("_is_header")
+    ).select("_row.*", "_path")
+
+
+def _lines(spark: SparkSession, path: str) -> DataFrame:
+    lines = spark.read.option("lineSep", "\n").text(path)
+    return lines.select(
+        F.col("_metadata.file_path").alias("_path"),
+        F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_line"),
+        F.col("value").alias("_text"),
+        _quotes(F.col("value")).alias("_quotes"),
+    )
+
+
+def _quotes(text: Column) -> Column:
+    return F.length(text) - F.length(F.replace(text, F.lit('"'), F.lit("")))
+
+
+def _records(lines: DataFrame) -> DataFrame:
+    along_file = Window.partitionBy("_path").orderBy("_block")
+    blocks = (
+        lines.groupBy(*_BLOCK)
+        .agg((F.sum("_quotes") % 2).alias("_odd"))
+        .select(
+            *_BLOCK,
+            (_sum_before("_odd", along_file) % 2).alias("_open"),
+        )
+    )
+    along_block = Window.partitionBy(*_BLOCK).orderBy("_line")
+    numbered = (
+        lines.join(broadcast_if_small(blocks), _BLOCK)
+        .withColumn("_begins", (F.col("_open") + _sum_before("_quotes", along_block)) % 2 == 0)
+        .withColumn(
+            "_record", F.sum(F.col("_begins").cast("int")).over(along_block)
+        )
+    )
+    pieces = numbered.groupBy(*_BLOCK, "_record").agg(
+        _joined("_line").alias("_text"), (F.sum("_quotes") % 2 == 1).alias("_odd")
+    )
+    # Record 0 of a block continues one of an earlier block; an odd one is continued in a later block.
+    is_header = (F.col("_block") == 0) & (F.col("_record") == 1)
+    pieces = pieces.withColumn("_is_header", is_header)
+    in_block = (F.col("_record") > 0) & ~F.col("_odd")
+    whole = pieces.filter(in_block).select("_path", "_is_header", "_text")
+    along_borders = Window.partitionBy("_path").orderBy("_block", "_record")
+    across = (
+        pieces.filter(~in_block)
+        .withColumn("_chain", F.sum((F.col("_record") > 0).cast("int")).over(along_borders))
+        .groupBy("_path", "_chain")
+        .agg(F.max("_is_header").alias("_is_header"), _joined("_block").alias("_text"))
+        .drop("_chain")
+    )
+    text = F.regexp_replace("_text", "\r$", "")
+    return whole.unionByName(across).withColumn("_text", text).filter("_text <> ''")
+
+
+def _sum_before(column: str, window) -> Column:
+    before = window.rowsBetween(Window.unboundedPreceding, -1)
+    return F.coalesce(F.sum(column).over(before), F.lit(0))
+
+
+def _joined(order: str) -> Column:
+    """The lines of a record, in order, with the line breaks between them."""
+    lines = F.array_sort(F.collect_list(F.struct(order, "_text")))
+    return F.array_join(F.transform(lines, lambda line: line.getField("_text")), "\n")
