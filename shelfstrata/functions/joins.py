@@ -49,18 +49,35 @@ def interval_join(
     if points.schema[on].dataType != intervals.schema[on].dataType:
         raise ValueError(f"Join column {on} differs in type")
     spans = intervals.filter(F.col(start) <= F.col(end)).select(
-        *[F.col(c).alias("_interval_key") if c == on else F.col(c) for c in intervals.columns],
-        F.explode(F.sequence(month_bucket(F.col(start)), month_bucket(F.col(end)))).alias(
-            "_interval_bucket"
-        ),
+        *[c for c in intervals.columns if c != on],
+        F.explode(
+            F.transform(
+                F.sequence(month_bucket(F.col(start)), month_bucket(F.col(end))),
+                lambda bucket: _pair(F.col(on), bucket),
+            )
+        ).alias("_interval_pair"),
     )
-    dated = points.withColumn("_bucket", month_bucket(F.col(day)))
-    matches = (
-        (F.col(on) == F.col("_interval_key"))
-        & (F.col("_bucket") == F.col("_interval_bucket"))
-        & F.col(day).between(F.col(start), F.col(end))
+    dated = points.withColumn("_pair", _pair(F.col(on), month_bucket(F.col(day))))
+    matches = (F.col("_pair") == F.col("_interval_pair")) & F.col(day).between(
+        F.col(start), F.col(end)
     )
     if residual is not None:
         matches = matches & residual
     joined = dated.join(broadcast_if_small(spans), matches, "inner")
-    return joined.drop("_bucket", "_interval_bucket", "_interval_key")
+    return joined.drop("_pair", "_interval_pair")
+
+
+def _pair(key: Column, bucket: Column) -> Column:
+    """Key and month as one value. Joined on two columns, rows that an earlier join left
+    partitioned by the key alone would stay so, a hot key in one task."""
+    return F.concat(bucket.cast("string"), F.lit("|"), key.cast("string"))
+
+
+def packed(*keys: str) -> Column:
+    """Grouping columns as one struct ``_key``, for rows that a join left partitioned by them.
+
+    Grouped by the bare columns such rows are not shuffled again, and adaptive execution does not
+    split a hot partition of the join where that would call for one more shuffle. Grouped by the struct
+    they are, after partial aggregation, and the join is free to be split.
+    """
+    return F.struct(*keys).alias("_key")

@@ -22,11 +22,12 @@ def failing_rows(df: DataFrame, rule: Rule) -> DataFrame:
 
 
 def _duplicated_keys(df: DataFrame, rule: Rule) -> DataFrame:
-    # Counted with a partial aggregate, so that a key on very many rows is never held by one task; the
-    # semi join that uses the keys streams its left side, which adaptive execution splits if skewed.
+    # Counted with a partial aggregate, so that a key on very many rows is never held by one task. The
+    # keys are shuffled again for the join, whose hot partitions can then be split.
     keys = [named(k) for k in rule.key_columns]
     present = reduce(lambda left, right: left & right, [k.isNotNull() for k in keys])
-    return df.filter(present).groupBy(*keys).count().filter("count > 1").select(*keys)
+    counted = df.filter(present).groupBy(F.xxhash64(*keys).alias("_hash"), *keys).count()
+    return counted.filter("count > 1").select(*keys)
 
 
 def tag(

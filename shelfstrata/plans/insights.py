@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from shelfstrata.functions.columns import exact_sum
+from shelfstrata.functions.joins import packed
 
 BREAKDOWN = ["order_date", "channel", "store_id", "category"]
 
@@ -31,13 +32,18 @@ def stockout_risk(inventory_snapshots: DataFrame, sales: DataFrame, top: int = 5
         F.sum("stock_on_hand").alias("stock_on_hand"),
         F.count_if("is_stockout").alias("stores_out_of_stock"),
     )
-    demand = sales.groupBy("product_id").agg(
-        F.sum("quantity").alias("units_sold"),
-        (F.date_diff(F.max("order_date"), F.min("order_date")) + 1).alias("days"),
+    demand = (
+        sales.groupBy(packed("product_id"))
+        .agg(
+            F.sum("quantity").alias("units_sold"),
+            (F.date_diff(F.max("order_date"), F.min("order_date")) + 1).alias("days"),
+        )
+        .filter("units_sold > 0")
+        .select("_key.*", "units_sold", "days")
     )
     cover = F.col("stock_on_hand") * F.col("days") / F.col("units_sold")
     return (
-        stock.join(demand.filter("units_sold > 0"), "product_id", "inner")
+        stock.join(demand, "product_id", "inner")
         .select(
             "product_id",
             "stock_on_hand",

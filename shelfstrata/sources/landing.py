@@ -25,7 +25,8 @@ def read_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def write_csv(df: DataFrame, path: str) -> str:
-    """Write CSV that ``read_csv`` reads back as it was, with NULL as an empty field."""
+    """Write CSV that ``read_csv`` reads back. NULL and empty text both become empty fields, and are
+    read back as NULL."""
     df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
     return path
 

@@ -28,11 +28,13 @@ def read_large_csv(spark: SparkSession, path: str) -> DataFrame:
     options = {**CSV_OPTIONS, "header": "false", "multiLine": "true", "mode": "FAILFAST"}
     parsed = records.select("_path", "_is_header", F.from_csv("_text", schema, options).alias("_row"))
     fields = F.array(*[F.col("_row").getField(c) for c in columns])
-    same_header = ~F.col("_is_header") | (fields == F.array(*[F.lit(c) for c in columns]))
-    return parsed.filter(
-        F.assert_true(same_header, "Files of one source differ in their header").isNull()
-        & ~F.col("_is_header")
-    ).select("_row.*", "_path")
+    same_header = fields == F.array(*[F.lit(c) for c in columns])
+    # One expression, so that headers are not dropped before they are compared.
+    is_row = F.when(
+        F.col("_is_header"),
+        F.assert_true(same_header, "Files of one source differ in their header").isNotNull(),
+    ).otherwise(F.lit(True))
+    return parsed.filter(is_row).select("_row.*", "_path")
 
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
