@@ -56,17 +56,15 @@ def _stamp(df: DataFrame) -> DataFrame:
 def quarantine(df: DataFrame, contract: Contract) -> DataFrame:
     """Every row once for each rule it breaks, tagged with the rule.
 
-    All row rules share one pass: clean rows are dropped by one predicate, the others are
-    multiplied by the rules they break. Rows are not removed from ``df``.
+    All row rules share one pass: one predicate tells clean rows, which have no reasons and vanish;
+    the others are multiplied by the rules they break. Rows are not removed from ``df``.
     """
     row_rules = [r for r in contract.rules if r.is_row_rule or r.is_missing(df)]
     key_rules = [r for r in contract.rules if r not in row_rules]
     parts = []
     if row_rules:
-        broken = F.array_compact(
-            F.array(*[F.when(r.fails(df), _reason(df, contract, r)) for r in row_rules])
-        )
-        parts.append(df.filter(_any_fails(df, row_rules)).select("*", F.inline(broken)))
+        reasons = _of_broken(df, row_rules, [_reason(df, contract, r) for r in row_rules])
+        parts.append(df.select("*", F.inline(reasons)))
     for rule in key_rules:
         reason = F.array(_reason(df, contract, rule))
         parts.append(failing_rows(df, rule).select("*", F.inline(reason)))
@@ -84,8 +82,11 @@ def _reason(df: DataFrame, contract: Contract, rule: Rule) -> Column:
     )
 
 
-def _any_fails(df: DataFrame, rules: Sequence[Rule]) -> Column:
-    return reduce(lambda left, right: left | right, [r.fails(df) for r in rules])
+def _of_broken(df: DataFrame, rules: Sequence[Rule], values: Sequence[Column]) -> Column:
+    """Array of the values of the rules a row breaks; NULL, and no array built, if it breaks none."""
+    any_fails = reduce(lambda left, right: left | right, [r.fails(df) for r in rules])
+    each = [F.when(r.fails(df), value) for r, value in zip(rules, values, strict=True)]
+    return F.when(any_fails, F.array_compact(F.array(*each)))
 
 
 def summarise(quarantined: DataFrame) -> DataFrame:
@@ -104,9 +105,8 @@ def flag(df: DataFrame, contract: Contract) -> DataFrame:
     rules = [r for r in rules if r.severity == "error"]
     if not rules:
         return df.select("*", F.array().cast("array<string>").alias("_broken_rules"))
-    broken = F.array_compact(
-        F.array(*[F.when(r.fails(df), F.lit(f"{r.name}:{r.column}")) for r in rules])
-    )
+    names = [F.lit(f"{r.name}:{r.column}") for r in rules]
+    broken = F.coalesce(_of_broken(df, rules, names), F.array().cast("array<string>"))
     return df.select("*", broken.alias("_broken_rules"))
 
 
