@@ -28,6 +28,9 @@ def arguments(description: str) -> argparse.Namespace:
     parser.add_argument("--run-id", default="latest", help="folder of this run in the quarantine")
     parser.add_argument("--format", default="parquet", help="format of silver and gold tables")
     parser.add_argument("--large-files", action="store_true", help="single CSV files are large")
+    parser.add_argument(
+        "--partition-facts", action="store_true", help="store sales in a folder per order date"
+    )
     return parser.parse_args()
 
 

@@ -67,8 +67,10 @@ def gold(spark: SparkSession, args: argparse.Namespace) -> None:
     staged = {e: STAGING[e](df) for e, df in _silver(spark, args).items()}
     base, rows = f"{args.base}/gold", {}
 
-    def store(name: str, model: DataFrame) -> None:
-        rows[name] = write_table(model, table_path(base, name), args.format)
+    def store(name: str, model: DataFrame, partition_by: tuple[str, ...] = ()) -> None:
+        rows[name] = write_table(
+            model, table_path(base, name), args.format, partition_by=partition_by
+        )
 
     revenue = intermediate.int_order_revenue(
         staged["orders"], staged["order_items"], staged["products"]
@@ -79,7 +81,12 @@ def gold(spark: SparkSession, args: argparse.Namespace) -> None:
     store("dim_customer", marts.dim_customer(staged["customers"]))
     store("dim_product", marts.dim_product(staged["products"]))
     store("dim_stores", marts.dim_stores(staged["stores"]))
-    store("fct_sales", marts.fct_sales(revenue))
+    facts = marts.fct_sales(revenue)
+    if args.partition_facts:
+        # Few files per day, several for a day with very many lines.
+        store("fct_sales", facts.hint("rebalance", "order_date"), ("order_date",))
+    else:
+        store("fct_sales", facts)
     store("fct_inventory_snapshot", marts.fct_inventory_snapshot(position))
     sales = read_table(spark, base, "fct_sales", args.format)
     store("mart_daily_retail_kpis", marts.mart_daily_retail_kpis(sales))

@@ -37,7 +37,9 @@ def overwrite_partitions(df: DataFrame, path: str, partition_by: Sequence[str])
 def freshness(df: DataFrame, column: str, as_of: datetime, max_age_hours: float) -> DataFrame:
     """One row: newest value, its age in hours at ``as_of``, and whether that is fresh enough."""
     newest = df.agg(F.max(named(column).cast("timestamp")).alias("newest"))
-    age = (F.unix_micros(F.lit(as_of).cast("timestamp")) - F.unix_micros("newest")) / 3_600_000_000
+    # As text, a time without zone is one of the session's zone, as that of the column is.
+    now = F.lit(as_of.isoformat(sep=" ")).cast("timestamp")
+    age = (F.unix_micros(now) - F.unix_micros("newest")) / 3_600_000_000
     return newest.select("newest", age.alias("age_hours")).select(
         "*", F.coalesce(F.col("age_hours") <= max_age_hours, F.lit(False)).alias("is_fresh")
     )

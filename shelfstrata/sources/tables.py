@@ -104,6 +104,26 @@ def save_models(models: Mapping[str, DataFrame], schema: str, base: str, fmt: st
         )
 
 
+def save_bucketed(
+    df: DataFrame, table: str, path: str, key: str, buckets: int, fmt: str = "parquet"
+) -> None:
+    """Store a catalog table in buckets of a key, sorted by it.
+
+    Tables with as many buckets of the key they are joined by, such as order headers and order lines by
+    ``order_id``, join without a shuffle. Rows are shuffled by the key once, here, into one file per
+    bucket. A key with very many rows makes one large bucket; leave such tables unbucketed.
+    """
+    (
+        df.repartition(buckets, F.col(key))
+        .write.format(fmt)
+        .mode("overwrite")
+        .bucketBy(buckets, key)
+        .sortBy(key)
+        .option("path", path)
+        .saveAsTable(table)
+    )
+
+
 def create_views(models: Mapping[str, DataFrame]) -> None:
     """Make staging and intermediate models visible to SQL under their names."""
     for name, model in models.items():

@@ -1,7 +1,8 @@
 """Streaming twins of ingestion, deduplication, volume counts and validation.
 
 Every query takes its checkpoint folder from the caller and stops when it has read all that is
-there (``availableNow``), so it can run on a schedule or be restarted after a loss.
+there (``availableNow``), so it can run on a schedule or be restarted after a loss. State of many
+keys belongs in RocksDB (``spark.sql.streaming.stateStore.providerClass``), which is the session's choice.
 """
 
 from __future__ import annotations

@@ -142,6 +142,20 @@ def test_write_counts_rows_and_reconciles(spark, tmp_path):
     assert tuple(tables.reconcile(spark, 11, path).first()) == (11, 10, False)
 
 
+def test_bucketed_tables_join_without_a_shuffle(spark, tmp_path, capsys):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name in ("heads", "lines"):
+            df = spark.range(100).select((F.col("id") % 20).cast("string").alias("order_id"))
+            tables.save_bucketed(df, f"bucketed_{name}", str(tmp_path / name), "order_id", 4)
+        joined = spark.table("bucketed_heads").join(spark.table("bucketed_lines"), "order_id")
+        joined.explain()
+        assert "Exchange" not in capsys.readouterr().out
+        assert joined.count() == 20 * 25
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_report_file(spark, tmp_path):
     path = tables.write_report(spark.sql("select 'a \"quoted\"\n text' as details"), str(tmp_path / "r"))
     assert read_csv(spark, path).first().details == 'a "quoted"\n text'

@@ -72,7 +72,8 @@ def test_jobs_run_end_to_end(spark, tmp_path):
         write_csv(lake.text(entity), str(tmp_path / "landing" / file))
     root = Path(__file__).resolve().parents[1]
     done = subprocess.run(
-        [sys.executable, "-m", "jobs.run_all", "--base", str(tmp_path), "--run-id", "r1"],
+        [sys.executable, "-m", "jobs.run_all", "--base", str(tmp_path), "--run-id", "r1",
+         "--partition-facts"],
         cwd=root,
         capture_output=True,
         text=True,
