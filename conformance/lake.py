@@ -59,13 +59,15 @@ class Lake:
     def sales(self) -> DataFrame:
         return marts.fct_sales(self.revenue)
 
-    def related(self) -> dict[str, DataFrame]:
+    def related(self, *entities: str) -> dict[str, DataFrame]:
         """Silver tables, the parents without some of their rows, so that orphans exist."""
-        tables = {e: self.silver(e) for e in ENTITIES}
-        tables["customers"] = tables["customers"].filter("loyalty_tier <> 'diamond'")
-        tables["products"] = tables["products"].filter("category <> 'PROMO'")
-        tables["stores"] = tables["stores"].filter("store_format <> 'kiosk'")
-        return tables
+        kept = {
+            "customers": "loyalty_tier <> 'diamond'",
+            "products": "category <> 'PROMO'",
+            "stores": "store_format <> 'kiosk'",
+        }
+        tables = {e: self.silver(e) for e in entities or ENTITIES}
+        return {e: df.filter(kept[e]) if e in kept else df for e, df in tables.items()}
 
     def model(self, name: str) -> DataFrame:
         """A staging or gold model by name."""

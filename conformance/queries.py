@@ -173,7 +173,7 @@ def quality_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def orphan_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
-    related = Lake(spark, sf_dir).related()
+    related = Lake(spark, sf_dir).related("orders", "customers")
     return v.orphan_keys(related["orders"], "customer_id", related["customers"], "customer_id")
 
 
@@ -325,7 +325,7 @@ def x_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def x_orphan_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    related = Lake(spark, sf_dir).related()
+    related = Lake(spark, sf_dir).related("orders", "customers")
     orphans = q.orphan_rows(related["orders"], related["customers"], RELATIONSHIPS[0])
     return orphans.drop(*VOLATILE, *SILVER_METADATA)
 

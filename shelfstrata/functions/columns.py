@@ -49,16 +49,20 @@ def safe_cast(column: Column, source: T.DataType, target: T.DataType) -> Column:
 
 
 def exact(column: Column) -> Column:
-    """A double amount in decimal. NaN and infinite amounts have no decimal form and become NULL."""
+    """A double amount in decimal. NaN and amounts too large for it become NULL."""
     return column.try_cast(EXACT)
 
 
 def exact_sum(column: Column) -> Column:
     """Sum of a double amount that does not depend on the order of the rows.
 
-    Adds in decimal, returns double; NULL when there is no value.
+    Adds in decimal, returns double; NULL when there is no value. NaN, infinite and huge amounts, which
+    decimal cannot hold, are added as doubles on the side, so that none is left out.
     """
-    return F.sum(exact(column)).cast("double")
+    fits = F.abs(column) < F.lit(1e21)
+    in_decimal = F.sum(F.when(fits, exact(column))).cast("double")
+    others = F.sum(F.when(~fits, column))
+    return F.coalesce(in_decimal + others, in_decimal, others)
 
 
 def surrogate_key(*columns: str) -> Column:

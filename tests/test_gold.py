@@ -1,10 +1,11 @@
 import hashlib
+import math
 from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
 
-from shelfstrata.functions.columns import surrogate_key
+from shelfstrata.functions.columns import exact_sum, surrogate_key
 from shelfstrata.functions.joins import interval_join
 from shelfstrata.plans import checks, insights, intermediate, marts
 from shelfstrata.plans.staging import stg_orders, stg_promotions
@@ -191,6 +192,17 @@ def test_sums_do_not_depend_on_the_order_of_rows(spark):
     assert first == second
 
 
+def test_sums_leave_no_amount_out(spark):
+    df = spark.createDataFrame(
+        [("a", 0.1), ("a", 0.2), ("a", None), ("b", 1e30), ("b", 1.0), ("c", float("nan")),
+         ("c", 1.0), ("d", None), ("e", float("inf"))],
+        "k string, x double",
+    )
+    found = dict(map(tuple, df.groupBy("k").agg(exact_sum(F.col("x"))).collect()))
+    assert math.isnan(found.pop("c"))
+    assert found == {"a": 0.3, "b": 1e30, "d": None, "e": float("inf")}
+
+
 def order_tables(spark):
     orders = spark.createDataFrame(
         [("O1", "C1", "confirmed"), ("O2", "C2", "cancelled")],
