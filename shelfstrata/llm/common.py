@@ -35,6 +35,19 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+#: Most bytes of a table that is sent whole to every executor.
+BROADCAST_BYTES = 16 << 20
+
+
+def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """`df`, a checkpointed table, marked for broadcast if its rows, counted in bytes, are within `limit`.
+
+    Beyond it the join is left to Spark, which shuffles both sides.
+    """
+    size = df.agg(F.sum(F.length(F.to_json(F.struct(*df.columns))))).first()[0]
+    return F.broadcast(df) if (size or 0) <= limit else df
+
+
 def attach(left: DataFrame, key: str, right: DataFrame, columns: list[str], how: str = "left") -> DataFrame:
     """`left` as a struct `row`, beside `columns` of `right`, joined where their `key` is equal.
 

@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+from shelfstrata.llm.decontamination import OP10_SQL, op10_decontamination
 from shelfstrata.llm.mixing import OP6_SQL, op6_mixing
 from shelfstrata.llm.secrets import OP4_SQL, op4_secrets
 
 QUERIES = {
     "op4_secrets": op4_secrets,
     "op6_mixing": op6_mixing,
+    "op10_decontamination": op10_decontamination,
 }
 
 ORACLES = {
     "op4_secrets": OP4_SQL,
     "op6_mixing": OP6_SQL,
+    "op10_decontamination": OP10_SQL,
 }
