@@ -2,12 +2,27 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
+from functools import lru_cache
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+@lru_cache(maxsize=None)
+def _ship(application: str) -> None:
+    package = Path(__file__).resolve().parents[1]
+    archive = shutil.make_archive(f"{tempfile.mkdtemp()}/{package.name}", "zip", package.parent, package.name)
+    SparkSession.active().sparkContext.addPyFile(archive)
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Hands this package to the Python workers of all executors, once per application."""
+    _ship(spark.sparkContext.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

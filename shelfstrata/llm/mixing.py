@@ -107,7 +107,9 @@ def schedule(targets: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     earlier = W.partitionBy("source_no").orderBy("run").rowsBetween(W.unboundedPreceding, -1)
     runs = runs.select("source_no", "run", F.coalesce(F.sum("count").over(earlier), F.lit(0)).alias("ranked"))
     rank = F.row_number().over(W.partitionBy("source_no", "run").orderBy("slot")) - 1
-    return slots.join(runs, ["source_no", "run"]).select("slot", "source_no", (F.col("ranked") + rank).alias("block"))
+    # Sizes that are estimated from the few sources are far too small here: without the hint, all slots
+    # would be broadcast.
+    return slots.hint("merge").join(runs, ["source_no", "run"]).select("slot", "source_no", (F.col("ranked") + rank).alias("block"))
 
 
 def mix(
@@ -137,7 +139,7 @@ def mix(
         "doc_id", "source_no", "start", "size", "block", (low - F.col("begin")).alias("from_word"), (high - low).alias("words")
     )
     slots = schedule(targets, block_words)
-    return stream, slots.join(pieces, ["source_no", "block"]).drop("block")
+    return stream, slots.hint("merge").join(pieces, ["source_no", "block"]).drop("block")
 
 
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

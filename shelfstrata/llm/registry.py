@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from shelfstrata.llm.decontamination import OP10_SQL, op10_decontamination
 from shelfstrata.llm.mixing import OP6_SQL, op6_mixing
+from shelfstrata.llm.ngram_join import op2_ngram_join
 from shelfstrata.llm.secrets import OP4_SQL, op4_secrets
 
 QUERIES = {
+    "op2_ngram_join": op2_ngram_join,
     "op4_secrets": op4_secrets,
     "op6_mixing": op6_mixing,
     "op10_decontamination": op10_decontamination,
