@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from shelfstrata.llm.decontamination import OP10_SQL, op10_decontamination
+from shelfstrata.llm.language import op5_language
 from shelfstrata.llm.mixing import OP6_SQL, op6_mixing
 from shelfstrata.llm.ngram_join import op2_ngram_join
 from shelfstrata.llm.secrets import OP4_SQL, op4_secrets
@@ -10,6 +11,7 @@ from shelfstrata.llm.secrets import OP4_SQL, op4_secrets
 QUERIES = {
     "op2_ngram_join": op2_ngram_join,
     "op4_secrets": op4_secrets,
+    "op5_language": op5_language,
     "op6_mixing": op6_mixing,
     "op10_decontamination": op10_decontamination,
 }
