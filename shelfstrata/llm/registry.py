@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from shelfstrata.llm.decontamination import OP10_SQL, op10_decontamination
+from shelfstrata.llm.embedding_dedup import OP8_SQL, op8_embedding_dedup
 from shelfstrata.llm.language import op5_language
 from shelfstrata.llm.mixing import OP6_SQL, op6_mixing
 from shelfstrata.llm.ngram_join import op2_ngram_join
@@ -13,11 +14,13 @@ QUERIES = {
     "op4_secrets": op4_secrets,
     "op5_language": op5_language,
     "op6_mixing": op6_mixing,
+    "op8_embedding_dedup": op8_embedding_dedup,
     "op10_decontamination": op10_decontamination,
 }
 
 ORACLES = {
     "op4_secrets": OP4_SQL,
     "op6_mixing": OP6_SQL,
+    "op8_embedding_dedup": OP8_SQL,
     "op10_decontamination": OP10_SQL,
 }
