@@ -8,12 +8,14 @@ from shelfstrata.llm.language import op5_language
 from shelfstrata.llm.mixing import OP6_SQL, op6_mixing
 from shelfstrata.llm.ngram_join import op2_ngram_join
 from shelfstrata.llm.secrets import OP4_SQL, op4_secrets
+from shelfstrata.llm.warc import op7_warc
 
 QUERIES = {
     "op2_ngram_join": op2_ngram_join,
     "op4_secrets": op4_secrets,
     "op5_language": op5_language,
     "op6_mixing": op6_mixing,
+    "op7_warc": op7_warc,
     "op8_embedding_dedup": op8_embedding_dedup,
     "op10_decontamination": op10_decontamination,
 }
