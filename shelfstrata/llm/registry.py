@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from shelfstrata.llm.decontamination import OP10_SQL, op10_decontamination
 from shelfstrata.llm.embedding_dedup import OP8_SQL, op8_embedding_dedup
+from shelfstrata.llm.html_extraction import op9_html_extraction
 from shelfstrata.llm.language import op5_language
 from shelfstrata.llm.mixing import OP6_SQL, op6_mixing
 from shelfstrata.llm.ngram_join import op2_ngram_join
@@ -17,6 +18,7 @@ QUERIES = {
     "op6_mixing": op6_mixing,
     "op7_warc": op7_warc,
     "op8_embedding_dedup": op8_embedding_dedup,
+    "op9_html_extraction": op9_html_extraction,
     "op10_decontamination": op10_decontamination,
 }
 
