@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import shutil
 import tempfile
+import uuid
 from functools import lru_cache
 from pathlib import Path
 
@@ -50,6 +51,13 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def written(df: DataFrame) -> DataFrame:
+    """`df` written as Parquet into the shared folder and read back: a checkpoint for many narrow rows."""
+    path = f"{shared_folder(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 #: Most bytes of a table that is sent whole to every executor.
 BROADCAST_BYTES = 16 << 20
 

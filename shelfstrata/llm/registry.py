@@ -9,10 +9,12 @@ from shelfstrata.llm.language import op5_language
 from shelfstrata.llm.mixing import OP6_SQL, op6_mixing
 from shelfstrata.llm.ngram_join import op2_ngram_join
 from shelfstrata.llm.secrets import OP4_SQL, op4_secrets
+from shelfstrata.llm.suffix_dedup import op1_suffix_dedup
 from shelfstrata.llm.toxicity import op3_toxicity
 from shelfstrata.llm.warc import op7_warc
 
 QUERIES = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_ngram_join": op2_ngram_join,
     "op3_toxicity": op3_toxicity,
     "op4_secrets": op4_secrets,
