@@ -1,7 +1,7 @@
 """The seven retail entities as queries over the given star-schema tables.
 
 Each text is valid both in Spark SQL and in the SQL of the engine used for checking; table names are
-placeholders. Some rows break the contracts on purpose.
+placeholders. Some rows break the contracts on purpose, and some refer to a parent that does not exist.
 """
 
 from __future__ import annotations
@@ -88,7 +88,7 @@ from {{part}}
 
 _ORDERS = f"""
 select {_id('ORDER', 'o_orderkey', 8)} as order_id,
-       {_id('CUSTOMER', 'o_custkey', 6)} as customer_id,
+       case when o_orderkey % 157 = 11 then {_id('CUSTOMER', 'o_custkey + 900000', 6)} else {_id('CUSTOMER', 'o_custkey', 6)} end as customer_id,
        case when o_orderkey % 3 = 1 then {_id('STORE', 'o_orderkey % 10', 4)} end as store_id,
        case when o_orderkey % 499 = 9 then 'phone'
             when o_orderkey % 3 = 0 then 'online'
@@ -126,9 +126,9 @@ _TAX_PCT = "cast(floor(l_tax * 100 + 0.5e0) as bigint)"
 
 _ORDER_ITEMS = f"""
 select {_id('ORDER', 'l_orderkey', 8)} || '-' || {_padded('l_linenumber', 3)} as order_item_id,
-       {_id('ORDER', 'l_orderkey', 8)} as order_id,
+       case when l_orderkey % 263 = 17 then {_id('ORDER', 'l_orderkey + 90000000', 8)} else {_id('ORDER', 'l_orderkey', 8)} end as order_id,
        l_linenumber as line_number,
-       {_id('PRODUCT', 'l_partkey', 6)} as product_id,
+       case when l_partkey % 197 = 5 then {_id('PRODUCT', 'l_partkey + 900000', 6)} else {_id('PRODUCT', 'l_partkey', 6)} end as product_id,
        cast(l_quantity as int) as quantity,
        floor({_CENTS} / l_quantity) / 1e2 as unit_price,
        {_CENTS} / 1e2 as gross_amount,
@@ -141,8 +141,8 @@ from {{lineitem}}
 _INVENTORY = f"""
 select 'INV-' || cast(l_suppkey as string) || '-' || cast(l_partkey as string)
            as inventory_snapshot_id,
-       {_id('STORE', 'l_suppkey', 4)} as store_id,
-       {_id('PRODUCT', 'l_partkey', 6)} as product_id,
+       case when (l_suppkey + l_partkey) % 311 = 3 then {_id('STORE', 'l_suppkey + 9000', 4)} else {_id('STORE', 'l_suppkey', 4)} end as store_id,
+       case when (l_suppkey + l_partkey) % 307 = 2 then {_id('PRODUCT', 'l_partkey + 900000', 6)} else {_id('PRODUCT', 'l_partkey', 6)} end as product_id,
        cast(max(l_shipdate) as date) as snapshot_date,
        cast(cast(sum(l_quantity) as bigint) % 60 as int) as stock_on_hand,
        cast(10 + 5 * (l_partkey % 5) as int) as reorder_point,
@@ -156,9 +156,9 @@ group by l_suppkey, l_partkey
 """
 
 _PROMOTIONS = f"""
-select {_id('PROMO', 'cast((p_partkey - p_partkey % 7) / 7 as bigint)', 4)} as promotion_id,
+select {_id('PROMO', 'p_partkey', 4)} as promotion_id,
        p_name || ' deal' as promotion_name,
-       {_id('PRODUCT', 'p_partkey', 6)} as product_id,
+       case when p_partkey % 53 = 7 then {_id('PRODUCT', 'p_partkey + 900000', 6)} else {_id('PRODUCT', 'p_partkey', 6)} end as product_id,
        cast(5 * (p_size % 6) as int) as discount_pct,
        date '1996-01-01' + cast(p_partkey % 365 as int) as start_date,
        date '1996-01-01' + cast(p_partkey % 365 + 700 as int) as end_date,
@@ -168,7 +168,6 @@ select {_id('PROMO', 'cast((p_partkey - p_partkey % 7) / 7 as bigint)', 4)} as p
             else 'mobile_app' end as channel,
        p_size <= 25 as is_active
 from {{part}}
-where p_partkey % 7 = 0
 """
 
 ENTITY_SQL: dict[str, str] = {

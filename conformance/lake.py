@@ -6,17 +6,19 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from conformance.adapter import read_entity
 from shelfstrata.operators.conform import conform
 from shelfstrata.plans import intermediate, marts
 from shelfstrata.plans.silver import to_silver
 from shelfstrata.plans.staging import STAGING
 from shelfstrata.schemas import ENTITIES, SILVER_METADATA
-from shelfstrata.sources.driver_tables import read_entity
+from shelfstrata.sources.landing import read_csv, write_csv
+from shelfstrata.sources.scratch import scratch_folder
+from shelfstrata.sources.tables import read_table, table_path, write_table
 
 
 class Lake:
-    """Layers used several times in one query are shuffled once: their exchanges are the same, and
-    Spark reuses them."""
+    """Layers are plans; ``stored`` writes a model that a query reads several times."""
 
     def __init__(self, spark: SparkSession, sf_dir: str) -> None:
         self.spark = spark
@@ -60,14 +62,27 @@ class Lake:
         return marts.fct_sales(self.revenue)
 
     def related(self, *entities: str) -> dict[str, DataFrame]:
-        """Silver tables, the parents without some of their rows, so that orphans exist."""
-        kept = {
-            "customers": "loyalty_tier <> 'diamond'",
-            "products": "category <> 'PROMO'",
-            "stores": "store_format <> 'kiosk'",
-        }
-        tables = {e: self.silver(e) for e in entities or ENTITIES}
-        return {e: df.filter(kept[e]) if e in kept else df for e, df in tables.items()}
+        return {e: self.silver(e) for e in entities or ENTITIES}
+
+    def from_csv(self, entity: str) -> DataFrame:
+        """Silver by the whole path: landed as CSV, read as text, conformed, one row per key."""
+        path = write_csv(self.text(entity), scratch_folder(self.spark, f"landing-{entity}"))
+        return to_silver(read_csv(self.spark, path), entity)
+
+    def keep(self, name: str, model: DataFrame) -> DataFrame:
+        """A model written to the scratch folder and read back."""
+        base = scratch_folder(self.spark, "models")
+        write_table(model, table_path(base, name))
+        return read_table(self.spark, base, name)
+
+    def stored(self, name: str) -> DataFrame:
+        return self.keep(name, self.model(name))
+
+    @property
+    def attribution(self) -> DataFrame:
+        promotions = self.staged("promotions")
+        matched = intermediate.attributed_lines(promotions, self.revenue, self.staged("orders"))
+        return intermediate.with_unsold(promotions, self.keep("attributed_lines", matched))
 
     def model(self, name: str) -> DataFrame:
         """A staging or gold model by name."""

@@ -7,7 +7,8 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 
 from jobs.session import say
-from shelfstrata.contracts import CONTRACTS, RELATIONSHIPS
+from shelfstrata.contracts import CONTRACTS, MODEL_TESTS, RELATIONSHIPS
+from shelfstrata.operators.modeltests import model_test_report
 from shelfstrata.operators.quarantine import quarantine
 from shelfstrata.operators.validate import enforce_gate, relationship_report, report_all
 from shelfstrata.plans import intermediate, marts
@@ -21,16 +22,27 @@ from shelfstrata.sources.tables import read_table, table_path, write_report, wri
 
 def ingest(spark: SparkSession, args: argparse.Namespace) -> None:
     base = args.base
-    audit = ingest_all(spark, f"{base}/landing", f"{base}/bronze", large_files=args.large_files)
+    audit = ingest_all(spark, f"{base}/landing", f"{base}/bronze")
     write_report(audit, f"{base}/audit/bronze_ingestion_audit")
     say("ingest", rows={r.source_name: r.row_count for r in audit.collect()})
 
 
 def transform(spark: SparkSession, args: argparse.Namespace) -> None:
-    done = transform_all(spark, f"{args.base}/bronze", f"{args.base}/silver", silver_fmt=args.format)
+    done = transform_all(
+        spark,
+        f"{args.base}/bronze",
+        f"{args.base}/silver",
+        silver_fmt=args.format,
+        options=_options(args),
+    )
     say("transform", rows={d.table_name: d.row_count for d in done})
 
 
+def _options(args: argparse.Namespace) -> dict[str, str]:
+    """A table may come with other columns than the one it replaces; Delta has to be told so."""
+    return {"overwriteSchema": "true"} if args.format == "delta" else {}
+
+
 def _silver(spark: SparkSession, args: argparse.Namespace) -> dict[str, DataFrame]:
     return {e: read_table(spark, f"{args.base}/silver", e, args.format) for e in ENTITIES}
 
@@ -69,7 +81,7 @@ def gold(spark: SparkSession, args: argparse.Namespace) -> None:
 
     def store(name: str, model: DataFrame, partition_by: tuple[str, ...] = ()) -> None:
         rows[name] = write_table(
-            model, table_path(base, name), args.format, partition_by=partition_by
+            model, table_path(base, name), args.format, partition_by=partition_by, options=_options(args)
         )
 
     revenue = intermediate.int_order_revenue(
@@ -95,3 +107,17 @@ def gold(spark: SparkSession, args: argparse.Namespace) -> None:
         marts.mart_promotion_performance(staged["promotions"], sales),
     )
     say("gold", rows=rows)
+
+
+def modeltests(spark: SparkSession, args: argparse.Namespace) -> None:
+    """The tests of the staging models, over silver, and of the stored gold models."""
+    silver = _silver(spark, args)
+    models = {f"stg_{e}": STAGING[e](df) for e, df in silver.items()}
+    for name in {t.model for t in MODEL_TESTS} - models.keys():
+        models[name] = read_table(spark, f"{args.base}/gold", name, args.format)
+    report = model_test_report(models, MODEL_TESTS)
+    write_report(report, f"{args.base}/audit/model_test_report")
+    failed = spark.read.option("header", True).option("escape", '"').csv(
+        f"{args.base}/audit/model_test_report"
+    )
+    say("modeltests", failed=failed.filter("passed = 'false'").count())

@@ -25,7 +25,7 @@ def sql_text(value: str) -> str:
 def safe_cast(column: Column, source: T.DataType, target: T.DataType) -> Column:
     """Cast that yields NULL for what does not convert, whatever the ANSI setting.
 
-    Text such as ``5.0`` is a valid integer here: it goes through double first. Pairs
+    Text such as ``5.0`` is a valid integer here: what is no integer as it stands goes through double. Pairs
     Spark has no cast for (an integer into a date, say) go through text and so end as NULL
     instead of failing the whole plan.
     """
@@ -35,7 +35,9 @@ def safe_cast(column: Column, source: T.DataType, target: T.DataType) -> Column:
         return column.cast(target)
     if isinstance(source, T.StringType):
         if isinstance(target, T.IntegralType):
-            return column.try_cast(T.DoubleType()).try_cast(target)
+            return F.coalesce(
+                column.try_cast(target), column.try_cast(T.DoubleType()).try_cast(target)
+            )
         return column.try_cast(target)
     both_numeric = isinstance(source, T.NumericType) and isinstance(target, T.NumericType)
     times = (T.DateType, T.TimestampType, T.TimestampNTZType)
@@ -56,13 +58,17 @@ def exact(column: Column) -> Column:
 def exact_sum(column: Column) -> Column:
     """Sum of a double amount that does not depend on the order of the rows.
 
-    Adds in decimal, returns double; NULL when there is no value. NaN, infinite and huge amounts, which
-    decimal cannot hold, are added as doubles on the side, so that none is left out.
+    Adds in decimal, returns double; NULL when there is no value. Amounts that decimal does not
+    represent (NaN, infinite, huge, or with digits beyond its places) are added as doubles on the side, so that
+    none is left out or rounded.
     """
-    fits = F.abs(column) < F.lit(1e21)
-    in_decimal = F.sum(F.when(fits, exact(column))).cast("double")
+    in_decimal = exact(column)
+    # A difference this small is the noise of binary fractions such as 0.1.
+    noise = F.abs(column) * F.lit(1e-9)
+    fits = F.coalesce(F.abs(in_decimal.cast("double") - column) <= noise, F.lit(False))
+    decimals = F.sum(F.when(fits, in_decimal)).cast("double")
     others = F.sum(F.when(~fits, column))
-    return F.coalesce(in_decimal + others, in_decimal, others)
+    return F.coalesce(decimals + others, decimals, others)
 
 
 def surrogate_key(*columns: str) -> Column:

@@ -4,29 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# Rows up to which the build side of an interval join is broadcast; some 50 MB of narrow rows.
-BROADCAST_ROWS = 500_000
-
-# Months the buckets of an interval join tell apart; earlier and later dates share the edge buckets.
-FIRST_BUCKET = 1990 * 12
-LAST_BUCKET = 2050 * 12
-
-
-def broadcast_if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Mark ``df`` for broadcast when it has at most ``rows`` rows, else for a sort-merge join.
-
-    Counts up to ``rows + 1`` rows. The sort-merge join is the way that always holds: it streams both
-    sides, and adaptive execution splits partitions that a hot key makes too large.
-    """
-    if df.limit(rows + 1).count() <= rows:
-        return F.broadcast(df)
-    return df.hint("merge")
-
 
 def month_bucket(day: Column) -> Column:
-    """Number of the month of a date, held within the first and last bucket."""
-    month = F.year(day) * 12 + F.month(day) - 1
-    return F.greatest(F.lit(FIRST_BUCKET), F.least(F.lit(LAST_BUCKET), month))
+    """Number of the month of a date."""
+    return F.year(day) * 12 + F.month(day) - 1
 
 
 def interval_join(
@@ -37,24 +18,34 @@ def interval_join(
     start: str,
     end: str,
     residual: Column | None = None,
+    days: DataFrame | None = None,
 ) -> DataFrame:
     """Inner join of dated rows to the intervals of the same key that hold the date, ends included.
 
     Intervals are repeated once for each month they touch and joined on key and month, so a key with
     many rows and many intervals compares only what shares a month, and its rows are spread over
-    as many partitions as it has months. Dates out of the range of the buckets meet in the edge
-    buckets; the exact dates are always compared, so the result is exact for all of them. Columns of the two
-    sides must have distinct names but for ``on``.
+    as many partitions as it has months. Months before the first and after the last day of the points are left
+    out, so that an interval without a real end costs no more than the points span. Those two days are
+    read from ``days``, a table with all days of the points that is cheaper to read than they are, or else
+    from the points. Columns of the two sides must have distinct names but for ``on``.
+
+    Which side is broadcast, if any, is left to Spark, which knows their sizes when it runs.
     """
     if points.schema[on].dataType != intervals.schema[on].dataType:
         raise ValueError(f"Join column {on} differs in type")
-    spans = intervals.filter(F.col(start) <= F.col(end)).select(
+    months = (points if days is None else days).select(month_bucket(F.col(day)).alias("_month"))
+    first = months.agg(F.min("_month")).scalar()
+    last = months.agg(F.max("_month")).scalar()
+    bounded = intervals.filter(F.col(start) <= F.col(end)).select(
+        "*",
+        F.greatest(month_bucket(F.col(start)), first).alias("_from"),
+        # Without points there is no last month, and no interval is needed.
+        F.least(month_bucket(F.col(end)), F.coalesce(last, F.lit(-1))).alias("_to"),
+    )
+    spans = bounded.filter("_from <= _to").select(
         *[c for c in intervals.columns if c != on],
         F.explode(
-            F.transform(
-                F.sequence(month_bucket(F.col(start)), month_bucket(F.col(end))),
-                lambda bucket: _pair(F.col(on), bucket),
-            )
+            F.transform(F.sequence("_from", "_to"), lambda bucket: _pair(F.col(on), bucket))
         ).alias("_interval_pair"),
     )
     dated = points.withColumn("_pair", _pair(F.col(on), month_bucket(F.col(day))))
@@ -63,8 +54,7 @@ def interval_join(
     )
     if residual is not None:
         matches = matches & residual
-    joined = dated.join(broadcast_if_small(spans), matches, "inner")
-    return joined.drop("_pair", "_interval_pair")
+    return dated.join(spans, matches, "inner").drop("_pair", "_interval_pair")
 
 
 def _pair(key: Column, bucket: Column) -> Column:

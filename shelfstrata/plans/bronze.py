@@ -9,7 +9,6 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfstrata.sources.landing import read_csv, with_lineage
-from shelfstrata.sources.large_csv import read_large_csv
 from shelfstrata.sources.tables import table_path, write_table
 
 # The landed file of each source.
@@ -23,6 +22,7 @@ SOURCE_FILES = {
     "promotions": "promotions.csv",
 }
 
+# The columns of the audit, in their order; the fields of Ingested.
 AUDIT_SCHEMA = (
     "source_name string, source_path string, bronze_path string, row_count bigint, "
     "column_count int, ingestion_datetime string"
@@ -47,18 +47,10 @@ def ingest(
     path: str,
     bronze_base: str,
     fmt: str = "parquet",
-    large_files: bool = False,
 ) -> Ingested:
-    """Read one landed source, add lineage, write its bronze table; rows are counted on the way.
-
-    Set ``large_files`` where single files are too large for one task.
-    """
+    """Read one landed source, add lineage, write its bronze table; rows are counted on the way."""
     at = datetime.now(tz=timezone.utc)
-    if large_files:
-        landed = read_large_csv(spark, path)
-        bronze = with_lineage(landed, name, at, landed["_path"]).drop("_path")
-    else:
-        bronze = with_lineage(read_csv(spark, path), name, at)
+    bronze = with_lineage(read_csv(spark, path), name, at)
     target = table_path(bronze_base, name)
     rows = write_table(bronze, target, fmt)
     return Ingested(name, path, target, rows, len(bronze.columns), at.isoformat())
@@ -70,11 +62,10 @@ def ingest_all(
     bronze_base: str,
     sources: Mapping[str, str] = SOURCE_FILES,
     fmt: str = "parquet",
-    large_files: bool = False,
 ) -> DataFrame:
     """Ingest every source; the audit has one row per source."""
     done = [
-        ingest(spark, name, table_path(landing_base, file), bronze_base, fmt, large_files)
+        ingest(spark, name, table_path(landing_base, file), bronze_base, fmt)
         for name, file in sources.items()
     ]
     return spark.createDataFrame([asdict(d) for d in done], AUDIT_SCHEMA)

@@ -51,20 +51,28 @@ def order_header_reconcile(
     """Orders whose header amounts differ from the sums of their lines, also if one side is absent.
 
     Lines are added up per order before they meet the headers. Differences are taken in decimal, so
-    that one of just the tolerance is judged the same everywhere.
+    that one of just the tolerance is judged the same everywhere. An amount that only one side has, or
+    that decimal cannot hold (NaN, huge), differs as well; its difference is NULL.
     """
     amounts = ("gross", "discount", "tax")
     lines = order_items.groupBy("order_id").agg(
-        *[F.sum(exact(F.col(f"{a}_amount"))).alias(f"lines_{a}") for a in amounts]
+        *[F.sum(exact(F.col(f"{a}_amount"))).alias(f"lines_{a}") for a in amounts],
+        *[F.max(_odd(a)).alias(f"lines_{a}_odd") for a in amounts],
+    )
+    lines = lines.withColumns(
+        {
+            "lines_net": F.col("lines_gross") - F.col("lines_discount"),
+            "lines_net_odd": F.col("lines_gross_odd") | F.col("lines_discount_odd"),
+        }
     )
     headers = orders.select(
         "order_id",
         *[exact(F.col(f"{a}_amount")).alias(f"header_{a}") for a in (*amounts, "net")],
+        *[_odd(a).alias(f"header_{a}_odd") for a in (*amounts, "net")],
         F.lit(True).alias("_header"),
     )
-    lines = lines.withColumn("lines_net", F.col("lines_gross") - F.col("lines_discount"))
     both = headers.join(lines.withColumn("_lines", F.lit(True)), "order_id", "full_outer").select(
-        "order_id",
+        "*",
         F.col("_header").isNotNull().alias("has_header"),
         F.col("_lines").isNotNull().alias("has_lines"),
         *[
@@ -73,14 +81,23 @@ def order_header_reconcile(
         ],
     )
     differs = " or ".join(
-        f"abs({a}_difference) > cast({tolerance} as decimal(28,6))" for a in (*amounts, "net")
+        f"header_{a}_odd or lines_{a}_odd or (header_{a} is null) <> (lines_{a} is null) "
+        f"or abs({a}_difference) > cast({tolerance} as decimal(28,6))"
+        for a in (*amounts, "net")
     )
     return both.filter(f"not has_header or not has_lines or {differs}").select(
         "order_id",
         "has_header",
         "has_lines",
         *[
-            F.col(f"{a}_difference").cast("double").alias(f"{a}_difference")
+            F.when(~F.coalesce(f"header_{a}_odd", F.lit(False)) & ~F.coalesce(f"lines_{a}_odd", F.lit(False)),
+                   F.col(f"{a}_difference").cast("double")).alias(f"{a}_difference")
             for a in (*amounts, "net")
         ],
     )
+
+
+def _odd(amount: str) -> Column:
+    """Whether an amount is there but decimal cannot hold it."""
+    column = F.col(f"{amount}_amount")
+    return column.isNotNull() & exact(column).isNull()

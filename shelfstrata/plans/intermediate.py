@@ -136,11 +136,13 @@ def _promotions(promotions: DataFrame) -> DataFrame:
     return promotions.withColumnRenamed("channel", "promotion_channel").select(*PROMOTION_COLUMNS)
 
 
-def attributed_lines(promotions: DataFrame, order_revenue: DataFrame) -> DataFrame:
+def attributed_lines(
+    promotions: DataFrame, order_revenue: DataFrame, days: DataFrame | None = None
+) -> DataFrame:
     """Order lines with each promotion of their product, day and channel.
 
     A line under several promotions appears once for each of them, so amounts must not be added
-    up over promotions.
+    up over promotions. ``days`` may name a cheaper source of the order dates (see ``interval_join``).
     """
     lines = order_revenue.withColumnRenamed("channel", "order_channel").select(
         "product_id", *ATTRIBUTED_COLUMNS
@@ -155,20 +157,27 @@ def attributed_lines(promotions: DataFrame, order_revenue: DataFrame) -> DataFra
         start="start_date",
         end="end_date",
         residual=any_channel | same_channel,
+        days=days,
     )
     return matched.select(*PROMOTION_COLUMNS, *ATTRIBUTED_COLUMNS)
 
 
-def int_promotion_attribution(promotions: DataFrame, order_revenue: DataFrame) -> DataFrame:
-    """Every promotion with the order lines it covers, or once with NULLs if it covers none.
+def with_unsold(promotions: DataFrame, attributed: DataFrame) -> DataFrame:
+    """Attributed lines, and every promotion that covers none of them once with NULLs.
 
-    An outer join would have to keep all lines of a hot product in one task. Here the lines meet
-    the promotions in an inner join, which can be split, and the promotions without a line are
-    added after: those not among the distinct promotions of the matches.
+    ``attributed`` is read twice, so large ones are best stored first. An outer join with the lines
+    would have to keep all lines of a hot product in one task; here the promotions meet only the distinct ones
+    among the matches.
     """
-    matched = attributed_lines(promotions, order_revenue)
     offered = _promotions(promotions)
-    sold = matched.select(*[F.col(c).alias(f"_{c}") for c in PROMOTION_COLUMNS]).distinct()
+    sold = attributed.select(*[F.col(c).alias(f"_{c}") for c in PROMOTION_COLUMNS]).distinct()
     same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in PROMOTION_COLUMNS]
     unsold = offered.join(sold, same, "left_anti")
-    return matched.unionByName(unsold, allowMissingColumns=True)
+    return attributed.unionByName(unsold, allowMissingColumns=True)
+
+
+def int_promotion_attribution(
+    promotions: DataFrame, order_revenue: DataFrame, days: DataFrame | None = None
+) -> DataFrame:
+    """Every promotion with the order lines it covers, or once with NULLs if it covers none."""
+    return with_unsold(promotions, attributed_lines(promotions, order_revenue, days))

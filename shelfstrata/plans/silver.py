@@ -49,7 +49,7 @@ def transform(
 
 
 def transform_all(
-    spark: SparkSession, bronze_base: str, silver_base: str, **formats: str
+    spark: SparkSession, bronze_base: str, silver_base: str, **formats
 ) -> list[Transformed]:
-    """Every entity in turn."""
+    """Every entity in turn; ``formats`` are those of ``transform``, and its options."""
     return [transform(spark, e, bronze_base, silver_base, **formats) for e in ENTITIES]

@@ -13,8 +13,8 @@ def read_csv(spark: SparkSession, path: str) -> DataFrame:
     """CSV with a header, quoted fields, doubled quotes and line breaks inside fields.
 
     All columns are text: types are given in silver, and identifiers such as ``007`` keep their
-    zeros. Each file is read by one task, as a line break may be inside a field; land many files,
-    or use ``read_large_csv`` when single files are large.
+    zeros. Each file is read by one task, as a line break may be inside a field; a large
+    source lands as many files.
     """
     return (
         spark.read.options(**CSV_OPTIONS)

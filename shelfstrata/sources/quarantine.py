@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from shelfstrata.operators.conform import stamp_silver
+from shelfstrata.operators.quarantine import tag
+from shelfstrata.schemas import ENTITIES
 from shelfstrata.sources.tables import write_table
 
 _PARTITIONS = ("_quarantine_rule_name", "_quarantine_column_name")
@@ -27,4 +31,14 @@ def write_quarantine(quarantined: DataFrame, base: str, table: str, run_id: str)
 
 
 def read_quarantine(spark: SparkSession, base: str, table: str, run_id: str) -> DataFrame:
-    return spark.read.parquet(quarantine_path(base, table, run_id))
+    """The failing rows of a table and run; none, with the columns of its silver table, if it was clean.
+
+    A partitioned write of no rows leaves no file to take the columns from.
+    """
+    try:
+        return spark.read.parquet(quarantine_path(base, table, run_id))
+    except AnalysisException as error:
+        if error.getCondition() != "UNABLE_TO_INFER_SCHEMA":
+            raise
+    silver = stamp_silver(spark.createDataFrame([], ENTITIES[table].schema))
+    return tag(silver, table, "", "", "")

@@ -19,6 +19,7 @@ def scratch_folder(spark: SparkSession, purpose: str) -> str:
     )
     if shared:
         return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
         raise RuntimeError("Set spark.checkpoint.dir to a folder all executors can reach")
     return f"{tempfile.mkdtemp(prefix='shelfstrata-')}/{purpose}"

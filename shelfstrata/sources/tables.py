@@ -27,11 +27,14 @@ def write_table(
 ) -> int:
     """Write and return the number of rows written, counted by the write itself.
 
-    ``fmt`` may be any installed format; for Delta pass ``{"overwriteSchema": "true"}``.
+    ``fmt`` may be any installed format; for Delta pass ``{"overwriteSchema": "true"}``. Overwriting
+    replaces the whole table, also a partitioned one, whatever the session's setting: a partition without
+    rows goes (``overwrite_partitions`` is the way to keep the others).
     """
     seen = Observation()
     counted = df.observe(seen, F.count(F.lit(1)).alias("rows"))
-    writer = counted.write.format(fmt).mode(mode).options(**(options or {}))
+    given = {"partitionOverwriteMode": "static"} | dict(options or {})
+    writer = counted.write.format(fmt).mode(mode).options(**given)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.save(path)
