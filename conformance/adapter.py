@@ -146,7 +146,8 @@ select 'INV-' || cast(l_suppkey as string) || '-' || cast(l_partkey as string)
        cast(max(l_shipdate) as date) as snapshot_date,
        cast(cast(sum(l_quantity) as bigint) % 60 as int) as stock_on_hand,
        cast(10 + 5 * (l_partkey % 5) as int) as reorder_point,
-       cast(50 + 25 * (l_partkey % 4) as int) as reorder_quantity,
+       cast(case when l_partkey % 83 = 4 then 0 else 50 + 25 * (l_partkey % 4) end as int)
+           as reorder_quantity,
        cast(sum(l_quantity) as bigint) % 60 = 0 as is_stockout,
        case when l_partkey % 71 = 0 then false
             else cast(sum(l_quantity) as bigint) % 60 < 10 + 5 * (l_partkey % 5) end

@@ -25,7 +25,7 @@ def sql_text(value: str) -> str:
 def safe_cast(column: Column, source: T.DataType, target: T.DataType) -> Column:
     """Cast that yields NULL for what does not convert, whatever the ANSI setting.
 
-    Text such as ``5.0`` is a valid integer here: what is no integer as it stands goes through double. Pairs
+    Text such as ``5.0`` is a valid integer here: what is no integer as it stands goes through decimal. Pairs
     Spark has no cast for (an integer into a date, say) go through text and so end as NULL
     instead of failing the whole plan.
     """
@@ -36,7 +36,7 @@ def safe_cast(column: Column, source: T.DataType, target: T.DataType) -> Column:
     if isinstance(source, T.StringType):
         if isinstance(target, T.IntegralType):
             return F.coalesce(
-                column.try_cast(target), column.try_cast(T.DoubleType()).try_cast(target)
+                column.try_cast(target), column.try_cast(T.DecimalType(38, 10)).try_cast(target)
             )
         return column.try_cast(target)
     both_numeric = isinstance(source, T.NumericType) and isinstance(target, T.NumericType)

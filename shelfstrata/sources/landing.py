@@ -27,7 +27,9 @@ def read_csv(spark: SparkSession, path: str) -> DataFrame:
 def write_csv(df: DataFrame, path: str) -> str:
     """Write CSV that ``read_csv`` reads back. NULL and empty text both become empty fields, and are
     read back as NULL."""
-    df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
+    # Unlike the reader, the writer trims values unless told not to.
+    whole = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    df.write.mode("overwrite").options(**CSV_OPTIONS, **whole).csv(path)
     return path
 
 

@@ -6,7 +6,9 @@ from types import SimpleNamespace
 import pytest
 from pyspark.sql import functions as F, types as T
 
+from shelfstrata.contracts import CONTRACTS
 from shelfstrata.operators import changes
+from shelfstrata.operators.conform import stamp_silver
 from shelfstrata.operators.quarantine import quarantine, summarise
 from shelfstrata.operators.rules import Contract
 from shelfstrata.plans.bronze import SOURCE_FILES, ingest, ingest_all
@@ -14,9 +16,9 @@ from shelfstrata.plans.silver import transform_all
 from shelfstrata.schemas import BRONZE_METADATA, ENTITIES
 from shelfstrata.sources import tables
 from shelfstrata.sources.landing import read_csv, with_lineage, write_csv
-from shelfstrata.sources.large_csv import read_large_csv
 from shelfstrata.sources.quarantine import quarantine_path, read_quarantine, write_quarantine
 from shelfstrata.sources.scratch import scratch_folder
+from shelfstrata.sources.tables import write_table
 
 AWKWARD = [
     ["id", "address", "note"],
@@ -46,30 +48,6 @@ def test_read_csv_keeps_line_breaks_quotes_and_zeros(spark, tmp_path):
     assert all(isinstance(f.dataType, T.StringType) for f in df.schema.fields)
 
 
-@pytest.mark.parametrize("block", ["128m", "40b", "16b", "5b"])
-@pytest.mark.parametrize("newline", ["\n", "\r\n"])
-def test_read_large_csv_for_any_block_size(spark, tmp_path, block, newline):
-    write_rows(tmp_path / "a.csv", AWKWARD, newline)
-    write_rows(tmp_path / "b.csv", AWKWARD[:1] + AWKWARD[2:], newline)
-    names = ("files.maxPartitionBytes", "files.openCostInBytes", "files.minPartitionNum")
-    for name, value in zip(names, (block, "0", "1"), strict=True):
-        spark.conf.set(f"spark.sql.{name}", value)
-    try:
-        df = read_large_csv(spark, str(tmp_path))
-        assert found(df) == sorted(WANTED + [w for w in WANTED if w[0] != "007"])
-        assert df.select("_path").distinct().count() == 2
-    finally:
-        for name in names:
-            spark.conf.unset(f"spark.sql.{name}")
-
-
-def test_read_large_csv_refuses_files_of_another_header(spark, tmp_path):
-    write_rows(tmp_path / "a.csv", AWKWARD)
-    write_rows(tmp_path / "b.csv", [["id", "note", "address"], ["1", "2", "3"]])
-    with pytest.raises(Exception, match="differ in their header"):
-        read_large_csv(spark, str(tmp_path)).collect()
-
-
 def test_lineage_is_that_of_each_file(spark, tmp_path):
     folder = tmp_path / "two files + more"
     folder.mkdir()
@@ -96,20 +74,19 @@ FIRST_ROWS = {
 }
 
 
-@pytest.mark.parametrize("large_files", [False, True])
-def test_all_sources_to_bronze_and_silver(spark, tmp_path, large_files):
+def test_all_sources_to_bronze_and_silver(spark, tmp_path):
     raw = tmp_path / "raw"
     raw.mkdir()
     for entity, (column, value) in FIRST_ROWS.items():
         write_rows(raw / SOURCE_FILES[entity], [[column], [value], [value]])
     bronze, silver = str(tmp_path / "bronze"), str(tmp_path / "silver")
-    audit = ingest_all(spark, str(raw), bronze, large_files=large_files).collect()
+    audit = ingest_all(spark, str(raw), bronze).collect()
     assert [(r.source_name, r.row_count, r.column_count) for r in audit] == [
         (entity, 2, 6) for entity in SOURCE_FILES
     ]
     done = transform_all(spark, bronze, silver)
     assert [(d.table_name, d.row_count) for d in done] == [(entity, 1) for entity in ENTITIES]
-    schema = f"silver_test_{large_files}".lower()
+    schema = "silver_test"
     tables.register_tables(spark, schema, silver, ENTITIES, location=str(tmp_path / "schema"))
     tables.register_tables(spark, schema, silver, ENTITIES)
     counts = tables.registered_row_counts(spark, schema).collect()
@@ -178,6 +155,24 @@ def test_quarantine_store_has_a_folder_per_rule_and_run(spark, tmp_path):
     assert write_quarantine(quarantine(df.filter("n > 5"), contract), base, "orders", "r2") == 0
 
 
+def test_a_clean_table_has_an_empty_quarantine(spark, tmp_path):
+    silver = stamp_silver(spark.createDataFrame([], ENTITIES["stores"].schema))
+    write_quarantine(quarantine(silver, CONTRACTS["stores"]), str(tmp_path), "stores", "r")
+    found = read_quarantine(spark, str(tmp_path), "stores", "r")
+    assert found.count() == 0 and found.columns[-2:] == ["_quarantine_time", "_quarantine_date"]
+
+
+@pytest.mark.parametrize("mode", ["static", "dynamic"])
+def test_overwriting_leaves_no_partition_behind(spark, tmp_path, mode):
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", mode)
+    try:
+        for rows in ([(1, "a"), (2, "b")], [(3, "a")]):
+            write_table(spark.createDataFrame(rows, "v int, p string"), str(tmp_path / "t"), partition_by=["p"])
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+    assert [tuple(r) for r in spark.read.parquet(str(tmp_path / "t")).collect()] == [(3, "a")]
+
+
 def test_scratch_folder_is_under_the_shared_folder(spark):
     def session(master, shared):
         conf = SimpleNamespace(get=lambda name, default=None: shared)

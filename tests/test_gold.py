@@ -96,12 +96,26 @@ def test_promotion_attribution(promotions, revenue):
     assert pairs(attributed) == sorted(WANTED, key=str)
 
 
-def test_promotion_attribution_without_broadcast(promotions, revenue, monkeypatch, capsys):
-    monkeypatch.setattr("shelfstrata.functions.joins.broadcast_if_small", lambda df: df.hint("merge"))
-    attributed = intermediate.int_promotion_attribution(promotions, revenue)
-    attributed.explain()
-    assert "SortMergeJoin" in capsys.readouterr().out
-    assert pairs(attributed) == sorted(WANTED, key=str)
+def test_promotion_attribution_without_broadcast(promotions, revenue, spark, capsys):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        attributed = intermediate.int_promotion_attribution(promotions, revenue)
+        attributed.explain()
+        assert "SortMergeJoin" in capsys.readouterr().out
+        assert pairs(attributed) == sorted(WANTED, key=str)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("year", [1950, 2023, 2100])
+def test_intervals_of_any_year_and_without_an_end(spark, year):
+    lines = spark.createDataFrame([line(n, date(year, 1 + n, 28)) for n in range(6)], REVENUE)
+    spans = [(0, date(1, 1, 1), date(9999, 12, 31)), (1, date(year, 2, 28), date(year, 3, 27)), (2, date(year, 6, 28), date(9999, 12, 31)), (3, date(year + 1, 1, 1), date(year + 2, 1, 1))]
+    promotions = spark.createDataFrame([promotion(*s) for s in spans], PROMOTIONS)
+    found = pairs(intermediate.int_promotion_attribution(promotions, lines))
+    wanted = [("PROMO-0", f"L{n}") for n in range(6)] + [("PROMO-1", "L1"), ("PROMO-2", "L5"), ("PROMO-3", None)]
+    assert found == sorted(wanted, key=str)
+    assert {item for _, item in pairs(intermediate.int_promotion_attribution(promotions, lines.limit(0)))} == {None}
 
 
 def test_promotion_attribution_equals_a_plain_outer_join(spark):
@@ -203,6 +217,15 @@ def test_sums_leave_no_amount_out(spark):
     assert found == {"a": 0.3, "b": 1e30, "d": None, "e": float("inf")}
 
 
+def test_sums_round_no_amount(spark):
+    rows = [("tiny", 4e-7)] * 1000 + [("mixed", 1e-7), ("mixed", 0.1), ("mixed", 1e25), ("mixed", -1e25), ("thirds", 1 / 3)]
+    df = spark.createDataFrame(rows, "k string, x double").coalesce(1)
+    found = dict(map(tuple, df.groupBy("k").agg(exact_sum(F.col("x"))).collect()))
+    assert found["tiny"] == pytest.approx(4e-4, rel=1e-9)
+    assert found["mixed"] == pytest.approx(0.1, abs=1e-6)
+    assert found["thirds"] == 1 / 3
+
+
 def order_tables(spark):
     orders = spark.createDataFrame(
         [("O1", "C1", "confirmed"), ("O2", "C2", "cancelled")],
@@ -276,6 +299,19 @@ def test_header_reconcile_finds_absent_sides(spark):
     assert not found["B"].has_lines and not found["C"].has_header
 
 
+def test_header_reconcile_finds_amounts_that_are_no_numbers(spark):
+    orders = spark.sql(
+        "select * from values ('null', cast(null as double)), ('nan', double('nan')), ('huge', 1e23D), ('good', 10.0D), "
+        "('off', 10.01D), ('both', cast(null as double)) as t(order_id, gross_amount)"
+    ).selectExpr("*", "0.0D as discount_amount", "if(order_id = 'both', null, 10.0D) as net_amount", "0.0D as tax_amount")
+    items = orders.selectExpr(
+        "order_id", "if(order_id = 'both', null, 10.0D) as gross_amount", "0.0D as discount_amount", "0.0D as tax_amount"
+    )
+    found = {r.order_id: r for r in checks.order_header_reconcile(orders, items).collect()}
+    assert set(found) == {"null", "nan", "huge", "off"}
+    assert found["huge"].gross_difference is None and found["huge"].net_difference == 0.0
+
+
 def test_funnel_needs_the_purchase_after_the_view(spark):
     at = lambda h: datetime(2024, 1, 1, h)
     events = spark.createDataFrame(

@@ -11,7 +11,10 @@ import pytest
 import __spark_entry__ as entry_module
 from conformance.compare import differences, open_tables
 from conformance.lake import Lake
+from conformance.oracle import all_oracles
 from conformance.queries import all_queries
+from shelfstrata.schemas import ENTITIES
+from shelfstrata.sources.quarantine import read_quarantine
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
@@ -29,7 +32,8 @@ def test_query_equals_its_sql(spark, connection, name):
 
 
 def test_every_query_has_sql():
-    assert entry_module.oracle_sql().keys() == entry_module.queries().keys()
+    assert all_oracles().keys() == all_queries().keys()
+    assert entry_module.oracle_sql().keys() <= entry_module.queries().keys()
 
 
 def test_entry(spark):
@@ -70,24 +74,55 @@ def test_jobs_run_end_to_end(spark, tmp_path):
     lake = Lake(spark, SF_DIR)
     for entity, file in SOURCE_FILES.items():
         write_csv(lake.text(entity), str(tmp_path / "landing" / file))
-    root = Path(__file__).resolve().parents[1]
-    done = subprocess.run(
-        [sys.executable, "-m", "jobs.run_all", "--base", str(tmp_path), "--run-id", "r1",
-         "--partition-facts"],
-        cwd=root,
-        capture_output=True,
-        text=True,
-        timeout=600,
-    )
-    # The given data breaks contracts, so the gate ends the run, after gold has been built.
+    # The given data breaks contracts, so the gate ends the run before gold.
+    done = run_jobs(tmp_path)
     assert done.returncode == 1, done.stderr[-2000:]
     assert "column checks" in done.stderr
-    steps = [json.loads(line) for line in done.stdout.splitlines() if line.startswith("{")]
-    assert [s["step"] for s in steps] == ["ingest", "transform", "validate", "gold"]
-    kpis = spark.read.parquet(str(tmp_path / "gold" / "mart_daily_retail_kpis"))
-    wanted = all_queries()["mart_daily_retail_kpis"](spark, SF_DIR)
-    assert kpis.exceptAll(wanted).count() == 0 and kpis.count() == wanted.count()
+    assert steps_of(done) == ["ingest", "transform", "validate"]
+    assert not (tmp_path / "gold").exists()
     report = spark.read.option("header", True).option("escape", '"').csv(
         str(tmp_path / "audit" / "silver_validation_report")
     )
     assert report.count() == 87
+    done = run_jobs(tmp_path, "--build-anyway")
+    assert done.returncode == 0, done.stderr[-2000:]
+    assert steps_of(done) == ["ingest", "transform", "validate", "gold", "modeltests"]
+    kpis = spark.read.parquet(str(tmp_path / "gold" / "mart_daily_retail_kpis"))
+    wanted = all_queries()["mart_daily_retail_kpis"](spark, SF_DIR)
+    assert kpis.exceptAll(wanted).count() == 0 and kpis.count() == wanted.count()
+    tests = spark.read.option("header", True).option("escape", '"').csv(
+        str(tmp_path / "audit" / "model_test_report")
+    )
+    assert tests.count() == 101
+    # A second run over less data equals a first run over it: nothing of the first is left.
+    orders = lake.text("orders").filter("order_timestamp >= '1997-01-01' and currency is not null")
+    write_csv(orders, str(tmp_path / "landing" / SOURCE_FILES["orders"]))
+    assert run_jobs(tmp_path, "--build-anyway").returncode == 0
+    sales = spark.read.parquet(str(tmp_path / "gold" / "fct_sales"))
+    assert sales.filter("order_date < '1997-01-01'").count() == 0 < sales.count()
+    rules = read_quarantine(spark, str(tmp_path / "quarantine"), "orders", "r1").select("_quarantine_column_name").distinct()
+    assert "currency" not in {r[0] for r in rules.collect()}
+
+
+def run_jobs(base, *options):
+    return subprocess.run(
+        [sys.executable, "-m", "jobs.run_all", "--base", str(base), "--run-id", "r1", "--partition-facts", *options],
+        cwd=Path(__file__).resolve().parents[1],
+        capture_output=True,
+        text=True,
+        timeout=600,
+    )
+
+
+def steps_of(done):
+    return [json.loads(line)["step"] for line in done.stdout.splitlines() if line.startswith("{")]
+
+
+def test_models_have_the_rows_of_their_tables_and_orphans_exist(spark):
+    lake = Lake(spark, SF_DIR)
+    for entity in ENTITIES:
+        assert lake.model(f"stg_{entity}").count() == lake.silver(entity).count()
+    found = all_queries()["relationship_report"](spark, SF_DIR).collect()
+    assert len(found) == 6 and all(r.failed_count > 0 for r in found)
+    values = all_queries()["test_accepted_values"](spark, SF_DIR).filter("failures > 0")
+    assert {"stg_customers", "stg_stores", "stg_products"} <= {r.model_name for r in values.collect()}

@@ -59,7 +59,7 @@ def test_valid_rows_pass(spark):
 
 def test_invalid_rows_fail_and_counts_are_rows(spark):
     df = customers(
-        spark, ("CUSTOMER-000001", "gold"), ("BAD_DATA-ID", "diamond"), ("CUSTOMER-000001", "silver")
+        spark, ("CUSTOMER-000310", "silver"), ("client 7", "wood"), ("CUSTOMER-000310", "gold"), ("CUSTOMER-000311", None)
     )
     found = by_rule(v.report(df, CUSTOMERS))
     assert found["customer_id", "unique"].failed_count == 2
@@ -148,15 +148,15 @@ def test_composite_key_rules_follow_from_the_primary_key(spark):
 
 
 def test_failing_rows(spark):
-    df = spark.createDataFrame([("online",), ("store",), ("came to me in a dream",)], "channel string")
+    df = spark.createDataFrame([("store",), ("fax",), (None,), ("online ",), ("mobile_app",)], "channel string")
     rule = Rule("channel", "accepted_values", ["online", "store", "mobile_app"])
-    assert [r.channel for r in failing_rows(df, rule).collect()] == ["came to me in a dream"]
+    assert [r.channel for r in failing_rows(df, rule).collect()] == ["fax", "online "]
     orders = spark.createDataFrame(
-        [("ORDER-00000001",), ("ORDER-00000001",), ("ORDER-00000002",), (None,), (None,)],
+        [("o-17",), (None,), ("o-18",), ("o-17",), (None,), ("o-17",)],
         "order_id string",
     )
     failing = failing_rows(orders, Rule("order_id", "unique"))
-    assert [r.order_id for r in failing.collect()] == ["ORDER-00000001"] * 2
+    assert [r.order_id for r in failing.collect()] == ["o-17"] * 3
 
 
 def test_report_counts_are_quarantined_rows(spark):

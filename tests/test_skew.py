@@ -5,7 +5,6 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from shelfstrata.functions.joins import broadcast_if_small
 from shelfstrata.operators import validate as v
 from shelfstrata.operators.dedup import keep_latest
 from shelfstrata.operators.quarantine import failing_rows
@@ -106,8 +105,7 @@ def test_hot_product_is_split_also_below_a_grouping_by_product(skewed, capsys):
     assert {r.units_sold for r in risk.collect()} == {2}
 
 
-def test_hot_product_with_promotions_is_split(skewed, capsys, monkeypatch):
-    monkeypatch.setattr("shelfstrata.functions.joins.broadcast_if_small", lambda df: df.hint("merge"))
+def test_hot_product_with_promotions_is_split(skewed, capsys):
     promotions = skewed.range(50).select(
         F.concat(F.lit("PROMO-"), "id").alias("promotion_id"),
         F.lit("deal").alias("promotion_name"),
@@ -136,11 +134,3 @@ def test_uniqueness_counts_are_merged_before_the_shuffle(skewed):
 
     row = v.report(hot(skewed), Contract.of("t", [], {"k": ["unique"]})).first()
     assert (row.failed_count, row.total_count) == (30_000, 60_000)
-
-
-def test_broadcast_only_below_the_limit(spark, capsys):
-    left = spark.range(10)
-    left.join(broadcast_if_small(spark.range(5), rows=5), "id").explain()
-    assert "BroadcastHashJoin" in capsys.readouterr().out
-    left.join(broadcast_if_small(spark.range(6), rows=5), "id").explain()
-    assert "SortMergeJoin" in capsys.readouterr().out
