@@ -89,3 +89,15 @@ def unpack(df: DataFrame) -> DataFrame:
 def held_out(doc_id: Column) -> Column:
     """Whether a document is kept from learning: the CRC-32 of its id as text leaves 1 when divided by 3."""
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
+
+
+def bounded_sample(df: DataFrame, by: str, key: list[str], rows: int) -> DataFrame:
+    """About `rows` rows of each value of `by`, or all if there are fewer: those whose hash of `key` is small.
+
+    Each row decides for itself, given how many there are of its value, so nothing is ranked or gathered.
+    Rows with equal keys count once.
+    """
+    counts = checkpoint(df.groupBy(by).agg(F.count(F.lit(1)).alias("_rows")))
+    place = F.shiftrightunsigned(F.xxhash64(*key), 1) / F.lit(float(1 << 63))
+    chosen = df.withColumn("_place", place).join(broadcast_if_small(counts), by).where(F.col("_place") * F.col("_rows") < rows)
+    return chosen.dropDuplicates([by, "_place"]).drop("_rows")

@@ -1,8 +1,7 @@
 r"""Main text of web pages by a linear-chain conditional random field over DOM leaf blocks.
 
 A page is read into leaf blocks: stretches of text between the boundaries of block elements. Each block has
-features of its ancestors (tags, words of class, id and role) and of its text (length, links, punctuation,
-place). The chain scores a labelling by the blocks' features and by which label follows which; Viterbi finds
+features of its ancestors (tags, words of class, id and role) and of its text (length, links, punctuation). The chain scores a labelling by the blocks' features and by which label follows which; Viterbi finds
 the best labelling, and the blocks labelled article are the page's text.
 
 The model is trained in numpy, by the gradient of the likelihood, on labelled pages: laid-out samples
@@ -28,11 +27,11 @@ from shelfstrata.llm.common import ship_code, table
 from shelfstrata.llm.page_blocks import Block, blocks_of, features
 from shelfstrata.llm.page_samples import labelled_pages
 
-SAMPLES = 700
+SAMPLES = 900
 FIT_PAGES = 100
 #: Longest page, in blocks, that is learnt from; every page is extracted in full.
 FIT_BLOCKS = 400
-EPOCHS = 200
+EPOCHS = 250
 RATE = 0.3
 PENALTY = 1e-3
 

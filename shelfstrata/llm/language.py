@@ -7,7 +7,7 @@ the highest cosine; if its distance from that centroid is well beyond that of ne
 its length, it is rejected.
 
 Document frequencies are counted over all training rows. Clustering uses at most `FIT_ROWS` rows of each
-language, those with the smallest hash, which bounds its memory; every row is then classified.
+language, those with small hashes, which bounds its memory; every row is then classified.
 
 Defined cases: a NULL text or one without a letter is `und` with score 0, and rejected; without training
 rows every text is; rows that repeat an id are classified each by itself; an empty table gives no rows;
@@ -24,10 +24,9 @@ import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from shelfstrata.llm.common import held_out, ship_code, table
+from shelfstrata.llm.common import bounded_sample, held_out, ship_code, table
 
 UNKNOWN = "und"
 DIMENSIONS = 1 << 13
@@ -138,27 +137,24 @@ def _fitter(idf: np.ndarray) -> Callable[[pd.DataFrame], pd.DataFrame]:
 
 
 def fit(labelled: DataFrame) -> Model:
-    """A model learnt from the rows of `labelled` (text, lang); rows where either is NULL are left out."""
+    """A model learnt from the rows of `labelled` (doc_id, text, lang); rows where either is NULL are left out."""
     ship_code(labelled.sparkSession)
-    rows = labelled.where("text is not null and lang is not null").select("text", "lang")
+    rows = labelled.where("text is not null and lang is not null").select("doc_id", "text", "lang")
     counted = rows.select("text").mapInArrow(_document_frequencies, "gram long, n long").groupBy("gram").agg(F.sum("n").alias("n"))
     seen = {r.gram: r.n for r in counted.collect()}  # a row per dimension at most
     total = seen.pop(-1, 0)
     idf = np.log((1 + total) / (1 + np.array([seen.get(g, 0) for g in range(DIMENSIONS)]))) + 1
-    keyed = rows.withColumn("key", F.xxhash64("text"))
-    first = W.partitionBy("lang").orderBy("key")
-    last = keyed.select("lang", "key").withColumn("n", F.row_number().over(first)).where(F.col("n") <= FIT_ROWS)
-    last = last.groupBy("lang").agg(F.max("key").alias("last"))
-    # Copies of a text share a key and could be any number, so they are taken once.
-    chosen = keyed.join(last, "lang").where("key <= last").dropDuplicates(["lang", "key"])
+    chosen = bounded_sample(rows, "lang", ["doc_id", "text"], FIT_ROWS).withColumnRenamed("_place", "key")
     fitted = chosen.select("lang", "text", "key").groupBy("lang").applyInPandas(_fitter(idf), "lang string, centroid binary, floors binary")
     found = sorted(fitted.collect(), key=lambda r: (r.lang, bytes(r.centroid)))  # a few rows per language
     centroids = np.array([np.frombuffer(r.centroid, dtype=np.float32) for r in found]).reshape(-1, DIMENSIONS)
     floors = np.array([np.frombuffer(r.floors) for r in found]).reshape(-1, LENGTHS + 1)
     floors = np.fmin.reduce(floors, axis=0) if len(floors) else np.zeros(LENGTHS + 1)
-    # Longer texts come nearer to a centroid, so a length without training texts has the floor of a shorter one.
-    floors = np.fmin.accumulate(floors[::-1])[::-1]
-    return Model([r.lang for r in found], centroids, idf, REJECT_BELOW * np.nan_to_num(floors, nan=0.0))
+    # Longer texts come nearer to a centroid, so a length without training texts has the floor of the shorter
+    # ones; below all of them nothing is rejected.
+    floors = np.append(0.0, floors)
+    floors = floors[np.maximum.accumulate(np.where(np.isnan(floors), 0, np.arange(len(floors))))][1:]
+    return Model([r.lang for r in found], centroids, idf, REJECT_BELOW * floors)
 
 
 def _classifier(model: Model) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:

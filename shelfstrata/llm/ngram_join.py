@@ -300,3 +300,24 @@ def keep_one_of_each(docs: DataFrame) -> DataFrame:
 
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+#: Every pair that shares a shingle, and groups by following links.
+OP2_SQL = r"""
+with recursive words as (select doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') as w from documents),
+grams as (
+  select distinct doc_id, w[i : i + least(len(w), 5) - 1] as gram
+  from (select *, unnest(range(1, greatest(len(w) - 4, 1) + 1)) as i from words where len(w) > 0)),
+sizes as (select doc_id, count(*) as n from grams group by doc_id),
+pairs as (
+  select a.doc_id as a, b.doc_id as b, count(*) as shared from grams a join grams b
+  on a.gram = b.gram and a.doc_id <> b.doc_id group by all),
+links as (
+  select a, b, shared = x.n and shared = y.n as equal from pairs join sizes x on a = x.doc_id join sizes y on b = y.doc_id
+  where shared >= 0.8 * (x.n + y.n - shared) - 1e-9),
+reach as (select doc_id as node, doc_id as seen from documents union select r.node, l.b from reach r join links l on r.seen = l.a),
+groups as (select node as doc_id, min(seen) as class_id from reach group by node),
+counts as (select a as doc_id, count(*) as n_links, min(b) filter (equal) as copy from links group by a)
+select doc_id, class_id, coalesce(n_links, 0) as n_links, least(doc_id, coalesce(copy, doc_id)) as copy_id, class_id = doc_id as kept
+from documents left join groups using (doc_id) left join counts using (doc_id)
+"""

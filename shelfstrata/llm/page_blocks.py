@@ -19,6 +19,9 @@ ENDED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"},
 #: What a search for such an element does not look beyond.
 SCOPES = frozenset("table ul ol dl div section article aside main nav body form td th".split())
 
+#: Elements that say what part of a page they are.
+ZONES = frozenset("article main nav header footer aside form".split())
+
 _TOKEN = re.compile(r"[a-z]+|[A-Z][a-z]*")
 _SENTENCE = re.compile(r"[.!?:;,]")
 
@@ -124,7 +127,7 @@ def _step(value: float, *limits: float) -> int:
 def features(blocks: list[Block]) -> list[list[str]]:
     """Per block the names of its features: ancestors and what they are called, and the make of its text."""
     found = []
-    for n, b in enumerate(blocks):
+    for b in blocks:
         words = b.text.split(" ")
         first = b.text[:1]
         own = [
@@ -135,9 +138,10 @@ def features(blocks: list[Block]) -> list[list[str]]:
             f"stops:{_step(len(_SENTENCE.findall(b.text)) / len(words), 0.01, 0.05, 0.15)}",
             f"ends:{b.text[-1] in '.!?:;\"»”’'}",
             f"begins:{'sign' if not first.isalnum() else 'upper' if first.isupper() else 'other'}",
-            f"place:{_step(n / len(blocks), 0.1, 0.9)}",
         ]
-        own += [f"in:{t}" for t in set(b.tags)]
+        # The tag itself has a feature already; "zone" tells an article's aside from an aside.
+        own += [f"in:{t}" for t in set(b.tags[:-1])]
+        own.append("zone:" + "/".join(t for t in b.tags if t in ZONES)[-40:])
         own += [f"name:{w}" for w in b.names]
         if "\xa9" in b.text:
             own.append("copyright")

@@ -7,7 +7,7 @@ from shelfstrata.llm.embedding_dedup import OP8_SQL, op8_embedding_dedup
 from shelfstrata.llm.html_extraction import op9_html_extraction
 from shelfstrata.llm.language import op5_language
 from shelfstrata.llm.mixing import OP6_SQL, op6_mixing
-from shelfstrata.llm.ngram_join import op2_ngram_join
+from shelfstrata.llm.ngram_join import OP2_SQL, op2_ngram_join
 from shelfstrata.llm.secrets import OP4_SQL, op4_secrets
 from shelfstrata.llm.suffix_dedup import op1_suffix_dedup
 from shelfstrata.llm.toxicity import op3_toxicity
@@ -27,6 +27,7 @@ QUERIES = {
 }
 
 ORACLES = {
+    "op2_ngram_join": OP2_SQL,
     "op4_secrets": OP4_SQL,
     "op6_mixing": OP6_SQL,
     "op8_embedding_dedup": OP8_SQL,

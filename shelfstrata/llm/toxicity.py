@@ -5,8 +5,8 @@ are an input of a second recurrent layer that reads windows of `WINDOW` words, `
 window overlaps the next. Attention pools either layer. Every window of a text is scored; the text has the
 score of its worst window.
 
-The network is trained in numpy on at most `FIT_ROWS` labelled documents of each class, those with the
-smallest hash of their id and at most `FIT_CHARS` characters. An embedding starts with how much oftener its
+The network is trained in numpy on about `FIT_ROWS` labelled documents of each class, those with a small
+hash of their id and at most `FIT_CHARS` characters. An embedding starts with how much oftener its
 word occurs in toxic texts. Only a whole text has a label, so each round scores all windows of the sample and
 then learns from the worst window of each text, and of the clean ones from another at random; in the first
 round the worst window is the one with the most telling words.
@@ -28,11 +28,10 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from shelfstrata.llm import gru
-from shelfstrata.llm.common import held_out, ship_code, table
+from shelfstrata.llm.common import bounded_sample, held_out, ship_code, table
 
 WINDOW, STRIDE = 32, 24
 WORD_CHARS = 24
@@ -259,12 +258,12 @@ def train(texts: list[str], labels: np.ndarray, rounds: int = ROUNDS, seed: int
 
 def fit(docs: DataFrame, labels: DataFrame, rounds: int = ROUNDS) -> Weights:
     """A network learnt from the labelled documents that are not held out."""
-    usable = labels.where("doc_id is not null and toxic is not null").where(~held_out(F.col("doc_id")))
+    usable = labels.where("doc_id is not null and toxic in (0, 1)").where(~held_out(F.col("doc_id")))
     usable = usable.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    ranked = usable.withColumn("n", F.row_number().over(W.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")))
-    chosen = ranked.where(F.col("n") <= FIT_ROWS).select("doc_id", "toxic")  # at most FIT_ROWS of each class
+    # About FIT_ROWS ids of each class, whatever the size of the table.
+    chosen = bounded_sample(usable, "toxic", ["doc_id"], FIT_ROWS).select("doc_id", "toxic")
     texts = docs.select("doc_id", "text").where(F.length("text") <= FIT_CHARS).join(F.broadcast(chosen), "doc_id")
-    rows = texts.dropDuplicates(["doc_id"]).orderBy("doc_id").limit(2 * FIT_ROWS).collect()
+    rows = texts.dropDuplicates(["doc_id"]).orderBy("doc_id").collect()
     toxic = np.array([r.toxic for r in rows], dtype=np.float32)
     if len(set(toxic)) < 2:
         p = initial()
