@@ -56,37 +56,53 @@ LAYERS["stg_orders"] = "select *, cast(order_timestamp as date) as order_date fr
 LAYERS["stg_promotions"] = (
     "select * replace (lower(trim(channel)) as channel) from silver_promotions"
 )
-LAYERS["int_order_revenue"] = """
-select i.order_item_id, o.order_id, o.customer_id, o.store_id, o.status, o.channel,
-       o.order_timestamp, o.order_date, o.currency, i.product_id, p.category, p.subcategory,
-       p.brand, i.line_number, i.quantity, i.unit_price, i.gross_amount, i.discount_amount,
-       i.net_amount, i.tax_amount, p.cost_price,
-       i.quantity * p.cost_price as estimated_cost_amount,
-       i.net_amount - (i.quantity * p.cost_price) as estimated_margin_amount
-from stg_order_items i
-join stg_orders o using (order_id)
-left join stg_products p on i.product_id = p.product_id
+# The columns of the joined models, which are what is checked, in their order.
+_REVENUE_COLUMNS = """
+order_item_id order_id customer_id store_id status channel order_timestamp order_date currency product_id category
+subcategory brand line_number quantity unit_price gross_amount discount_amount net_amount tax_amount cost_price
+""".split()
+_POSITION_COLUMNS = """
+inventory_snapshot_id snapshot_date store_id store_name store_city store_region store_format product_id product_name
+category subcategory stock_on_hand reorder_point reorder_quantity is_stockout is_below_reorder_point
+""".split()
+_PROMOTION_COLUMNS = "promotion_id promotion_name product_id discount_pct start_date end_date promotion_channel".split()
+_ATTRIBUTED_COLUMNS = """
+order_item_id order_id customer_id store_id order_channel order_date quantity gross_amount discount_amount net_amount
+estimated_margin_amount
+""".split()
+
+# Products and stores by their key, for lines and snapshots that may lack one.
+LAYERS["int_order_revenue"] = f"""
+select {', '.join(_REVENUE_COLUMNS)}, cost as estimated_cost_amount, net_amount - cost as estimated_margin_amount
+from (
+    select *, quantity * cost_price as cost
+    from (select order_item_id, order_id, product_id, line_number, quantity, unit_price, gross_amount, discount_amount,
+                 net_amount, tax_amount from stg_order_items)
+    join (select order_id, customer_id, store_id, status, channel, order_timestamp, order_date, currency
+          from stg_orders) using (order_id)
+    left join (select product_id, category, subcategory, brand, cost_price from stg_products) using (product_id))
 """
-LAYERS["int_inventory_position"] = """
-select i.inventory_snapshot_id, i.snapshot_date, i.store_id, s.store_name, s.city as store_city,
-       s.region as store_region, s.store_format, i.product_id, p.product_name, p.category,
-       p.subcategory, i.stock_on_hand, i.reorder_point, i.reorder_quantity, i.is_stockout,
-       i.is_below_reorder_point, i.stock_on_hand * p.unit_price as stock_retail_value,
-       i.stock_on_hand * p.cost_price as stock_cost_value
-from stg_inventory_snapshots i
-left join stg_stores s on i.store_id = s.store_id
-left join stg_products p on i.product_id = p.product_id
+LAYERS["int_inventory_position"] = f"""
+select {', '.join(_POSITION_COLUMNS)}, stock_on_hand * unit_price as stock_retail_value,
+       stock_on_hand * cost_price as stock_cost_value
+from stg_inventory_snapshots
+left join (select store_id, store_name, city as store_city, region as store_region, store_format
+           from stg_stores) using (store_id)
+left join (select product_id, product_name, category, subcategory, unit_price, cost_price
+           from stg_products) using (product_id)
 """
-LAYERS["int_promotion_attribution"] = """
-select p.promotion_id, p.promotion_name, p.product_id, p.discount_pct, p.start_date, p.end_date,
-       p.channel as promotion_channel, r.order_item_id, r.order_id, r.customer_id, r.store_id,
-       r.channel as order_channel, r.order_date, r.quantity, r.gross_amount, r.discount_amount,
-       r.net_amount, r.estimated_margin_amount
-from stg_promotions p
-left join int_order_revenue r
-  on p.product_id = r.product_id
- and r.order_date between p.start_date and p.end_date
- and (p.channel = 'all' or p.channel = r.channel)
+# Each line with the promotions it falls under, then the promotions that no line falls under.
+LAYERS["offered"] = "select * rename (channel as promotion_channel) from stg_promotions"
+LAYERS["attributed_lines"] = f"""
+select {', '.join(_PROMOTION_COLUMNS + _ATTRIBUTED_COLUMNS)}
+from offered join (select * rename (channel as order_channel) from int_order_revenue) using (product_id)
+where promotion_channel in ('all', order_channel) and start_date <= order_date and order_date <= end_date
+"""
+LAYERS["int_promotion_attribution"] = f"""
+select * from attributed_lines
+union all by name
+select {', '.join(_PROMOTION_COLUMNS)} from offered
+where promotion_id not in (select promotion_id from attributed_lines)
 """
 LAYERS["dim_customer"] = f"select {_key('customer_id')} as customer_key, * from stg_customers"
 LAYERS["dim_product"] = f"select {_key('product_id')} as product_key, * from stg_products"
