@@ -29,8 +29,8 @@ from shelfstrata.llm.page_samples import labelled_pages
 
 SAMPLES = 900
 FIT_PAGES = 100
-#: Longest page, in blocks, that is learnt from; every page is extracted in full.
-FIT_BLOCKS = 400
+#: Longest page, in characters and in blocks, that is learnt from; every page is extracted in full.
+FIT_CHARS, FIT_BLOCKS = 100_000, 400
 EPOCHS = 250
 RATE = 0.3
 PENALTY = 1e-3
@@ -142,10 +142,10 @@ def fit(pages: DataFrame) -> Model:
     for n, (html, article) in enumerate(labelled_pages(SAMPLES)):
         blocks = blocks_of(html)
         examples.append((features(blocks), _labels(blocks, [" ".join(t.split()) for t in article])))
-    chosen = pages.where("html is not null").select("html", F.xxhash64("page_id", "html").alias("_h")).orderBy("_h").limit(FIT_PAGES)
+    chosen = pages.where(F.length("html") <= FIT_CHARS).select("html", F.xxhash64("page_id", "html").alias("_h")).orderBy("_h").limit(FIT_PAGES)
     for n, row in enumerate(chosen.collect()):  # at most FIT_PAGES rows
-        blocks = blocks_of(row.html)[:FIT_BLOCKS]
-        labels = _by_markup(blocks)
+        blocks = blocks_of(row.html)
+        labels = _by_markup(blocks) if len(blocks) <= FIT_BLOCKS else None
         if labels:
             # In every other page the mark itself is taken away, so that the rest is learnt too.
             examples.append((_without_marks(features(blocks), {"in:article"} if n % 2 else set()), labels))
