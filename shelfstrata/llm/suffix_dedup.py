@@ -232,19 +232,24 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.xxhash64("doc_id", text).alias("key"), F.coalesce("doc_id", F.lit(-1)).alias("doc"), text.cast("binary").alias("bytes"))
 
 
+def _counted(rows: DataFrame) -> DataFrame:
+    """Rows per anchor hash. Grouped in a struct, so that a join on the hash shuffles anew and can split a hot one."""
+    return rows.groupBy(F.struct("hash").alias("of")).agg(F.count(F.lit(1)).alias("n")).select("of.hash", "n")
+
+
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """key, doc, first, last: stretches of bytes (to before `last`) covered by windows that occur elsewhere too."""
     ship_code(docs.sparkSession)
     texts = keyed(docs).select("key", "doc", "bytes")
     stretches = written(texts.where(F.length("bytes") >= WIDTH).mapInArrow(_stretches, STRETCH))
-    common = stretches.groupBy("hash").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("hash")
+    common = _counted(stretches).where("n > 1").select("hash")
     left, alike = F.col("anchor") - F.col("first"), ["hash", "left", "n_starts", "whole"]
     candidates = written(stretches.join(common, "hash").withColumn("left", left))
     one = F.min(F.struct("key", "doc", "first", "anchor")).alias("one")
     classes = written(candidates.groupBy(*alike).agg(F.count(F.lit(1)).alias("n"), one))
     copied = candidates.join(classes.where("n > 1").select(*alike), alike)
     copied = copied.select("key", "doc", "first", (F.col("first") + F.col("n_starts") + WIDTH - 1).alias("last"))
-    kinds = classes.groupBy("hash").agg(F.count(F.lit(1)).alias("kinds")).where("kinds > 1")
+    kinds = _counted(classes).where("n > 1").withColumnRenamed("n", "kinds")
     several = classes.join(kinds, "hash").withColumn("single", F.col("n") == 1)
 
     def with_text(chosen: DataFrame) -> DataFrame:
