@@ -5,7 +5,7 @@ features of its ancestors (tags, words of class, id and role) and of its text (l
 the best labelling, and the blocks labelled article are the page's text.
 
 The model is trained in numpy, by the gradient of the likelihood, on labelled pages: laid-out samples
-(`page_samples`), and up to `FIT_PAGES` pages of the table whose markup itself tells where the article is.
+(`page_samples`), and about `FIT_PAGES` pages of the table whose markup itself tells where the article is.
 Pages are then labelled one by one, so a page of any size costs only its own blocks.
 
 Defined cases: a NULL or empty html, and a page without an article, have the text ''; broken markup is read
@@ -142,8 +142,12 @@ def fit(pages: DataFrame) -> Model:
     for n, (html, article) in enumerate(labelled_pages(SAMPLES)):
         blocks = blocks_of(html)
         examples.append((features(blocks), _labels(blocks, [" ".join(t.split()) for t in article])))
-    chosen = pages.where(F.length("html") <= FIT_CHARS).select("html", F.xxhash64("page_id", "html").alias("_h")).orderBy("_h").limit(FIT_PAGES)
-    for n, row in enumerate(chosen.collect()):  # at most FIT_PAGES rows
+    # Each page decides for itself, given how many there are: ranking them would send a hundred of every
+    # partition to the driver.
+    place = F.shiftrightunsigned(F.xxhash64("page_id", "html"), 1) / F.lit(float(1 << 63))
+    chosen = pages.where(F.length("html") <= FIT_CHARS).select("html", place.alias("_place"))
+    chosen = chosen.where(F.col("_place") * pages.count() < FIT_PAGES).dropDuplicates(["_place"]).orderBy("_place")
+    for n, row in enumerate(chosen.collect()):  # about FIT_PAGES rows
         blocks = blocks_of(row.html)
         labels = _by_markup(blocks) if len(blocks) <= FIT_BLOCKS else None
         if labels:
