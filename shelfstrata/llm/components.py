@@ -29,16 +29,26 @@ def components(links: DataFrame) -> DataFrame:
         before = after
 
 
+def _smallest(edges: DataFrame) -> DataFrame:
+    """The smallest smaller neighbour of each node that has one.
+
+    Grouped by the node in a struct: grouped by the node itself, the join that follows would keep that
+    partitioning, and the rows of a hub could not be split.
+    """
+    found = edges.groupBy(F.struct("large").alias("key")).agg(F.min("small").alias("least"))
+    return found.select(F.col("key.large").alias("node"), "least")
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     """Each node's larger neighbours are linked with the smallest of the node and its neighbours."""
-    smallest = edges.groupBy(F.col("large").alias("node")).agg(F.min("small").alias("least"))
+    smallest = _smallest(edges)
     joined = edges.join(smallest, edges.small == smallest.node, "left")
     return joined.select(F.coalesce("least", "small").alias("small"), "large").distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     """Each node and its smaller neighbours are linked with the smallest of them."""
-    smallest = edges.groupBy("large").agg(F.min("small").alias("least"))
-    joined = edges.join(smallest.withColumnRenamed("large", "node"), edges.large == F.col("node"))
+    smallest = _smallest(edges)
+    joined = edges.join(smallest, edges.large == smallest.node)
     moved = joined.where("small <> least").select(F.col("least").alias("small"), F.col("small").alias("large"))
-    return moved.union(smallest.select(F.col("least").alias("small"), "large")).distinct()
+    return moved.union(smallest.select(F.col("least").alias("small"), F.col("node").alias("large"))).distinct()

@@ -252,7 +252,9 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     width = 2 * ROWS
     bands = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.struct(b.alias("band"), F.substring("sig", b * width + 1, F.lit(width)).alias("bucket")))
     banded = classes.select("rep", F.inline(bands)).select("rep", "band", F.xxhash64("bucket").alias("bucket"))
-    shared = banded.groupBy("band", "bucket").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    # Grouped in a struct, so that the join shuffles anew and can split a bucket with very many classes.
+    shared = banded.groupBy(F.struct("band", "bucket").alias("of")).agg(F.count(F.lit(1)).alias("members"))
+    shared = shared.where("members > 1").select("of.*", "members")
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
     side = F.pmod(F.xxhash64("rep", "band"), blocks).cast("int")
     placed = banded.join(shared, ["band", "bucket"]).select("rep", "band", "bucket", blocks.alias("blocks"), side.alias("side"))
