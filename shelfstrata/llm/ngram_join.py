@@ -1,7 +1,7 @@
 r"""N-gram Jaccard join with Bayesian candidate pruning, and the near-duplicate groups it gives.
 
-1. Every text becomes its set of word shingles. Documents with equal sets are one class; only the smallest
-   id of a class goes on, so any number of copies costs as much as one.
+1. Every text becomes its set of word shingles. Documents with equal sets are one class, known by a hash of
+   the set; only the text of its smallest id goes on, so any number of copies costs as much as one.
 2. A class has a signature of `HASHES` MinHash values. Classes that agree in any of `BANDS` bands share a
    bucket; a pair with a similarity of 0.8 misses all bands with a probability of 3e-6.
 3. Pairs of a bucket are compared `STEP` values at a time. With m of k values equal, the posterior of the
@@ -18,8 +18,8 @@ Words are runs of letters, digits and underscores, in lower case. A text with fe
 one shingle.
 
 Defined cases: a NULL text or one without words links with nothing and is its own class; a NULL doc_id
-takes no part and has a NULL class; rows that repeat an id are one document with the texts of all; an empty
-table gives no rows; other columns are ignored.
+takes no part and has a NULL class; rows that repeat an id are one document if their shingle sets are equal, and
+documents of their own otherwise; an empty table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -101,13 +101,14 @@ def _class_of(shingles: np.ndarray) -> tuple[int, int]:
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     hashes = _WordHashes()
     for batch in batches:
-        ids, rows = batch.column("doc_id"), []
+        ids, text_hashes, rows = batch.column("doc_id"), batch.column("t"), []
         for text in batch.column("text"):
             s = shingle_set(text.as_py(), hashes)
             rows.append((*_class_of(s), signature(s).tobytes()) if len(s) else (None, None, None))
         c1, c2, sig = zip(*rows) if rows else ((), (), ())
         yield pa.RecordBatch.from_arrays(
-            [ids.cast(pa.int64()), pa.array(c1, pa.int64()), pa.array(c2, pa.int64()), pa.array(sig, pa.binary())], ["doc_id", "c1", "c2", "sig"]
+            [ids.cast(pa.int64()), text_hashes, pa.array(c1, pa.int64()), pa.array(c2, pa.int64()), pa.array(sig, pa.binary())],
+            ["doc_id", "t", "c1", "c2", "sig"],
         )
 
 
@@ -163,14 +164,16 @@ def _matrix(column: pa.ChunkedArray, width: int) -> np.ndarray:
 
 
 TILE = ("band", "bucket", "low", "high")
+#: What tells a class: its smallest id, which alone may belong to several classes, and the hash of its shingle set.
+NODE = ("rep", "c1", "c2")
 
 
 def _pruned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per tile and class with a pair left: the class and the classes it is to be verified with."""
+    """Per tile and class with a pair left: the class, its place in the tile, and the places it is to be verified with."""
     fewest = least_matches()
     for rows, starts in whole_runs(batches, *TILE):
         sig, band = _matrix(rows.column("sig"), HASHES), rows.column("band").to_numpy()
-        side, rep = rows.column("side").to_numpy(), rows.column("rep").to_numpy()
+        side = rows.column("side").to_numpy()
         across = rows.column("low").to_numpy() != rows.column("high").to_numpy()
         found = [(np.empty(0, np.int64),) * 2]
         for i, j in pairs_of_runs(starts):
@@ -181,9 +184,10 @@ def _pruned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         i, j = i[order], j[order]
         members = np.union1d(i, j)
         low, high = np.searchsorted(i, members), np.searchsorted(i, members, side="right")
-        partners = [rep[j[a:b]] for a, b in zip(low, high)]
+        partners = [j[a:b] for a, b in zip(low, high)]
         if len(members):
-            kept = rows.select([*TILE, "rep", "copies", "c1"]).take(pa.array(members))
+            kept = rows.select([*TILE, *NODE, "t", "copies"]).take(pa.array(members))
+            kept = kept.append_column("place", pa.array(members, pa.int64()))
             kept = kept.append_column("partners", pa.array(partners, pa.list_(pa.int64())))
             yield from kept.combine_chunks().to_batches()
 
@@ -192,9 +196,9 @@ def _with_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
     hashes = _WordHashes()
     for batch in batches:
         sets = [shingle_set(x.as_py(), hashes) for x in batch.column("text")]
-        # Rows that repeat an id may have another text than the one that was signed.
-        same = [bool(len(s)) and _class_of(s)[0] == c for s, c in zip(sets, batch.column("c1").to_pylist())]
-        rest = batch.select([*TILE, "rep", "copies", "partners"])
+        # Texts of one id are told apart by a hash; should two have the same, the class decides.
+        same = [bool(len(s)) and _class_of(s) == c for s, c in zip(sets, zip(batch.column("c1").to_pylist(), batch.column("c2").to_pylist()))]
+        rest = batch.select([*TILE, *NODE, "copies", "place", "partners"])
         out = pa.table(rest).append_column("shingles", pa.array([s.tobytes() for s in sets], pa.binary()))
         yield from out.filter(pa.array(same, pa.bool_())).combine_chunks().to_batches()
 
@@ -208,15 +212,15 @@ def _root(parent: np.ndarray, x: int) -> int:
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per tile and class: with how many documents it is linked here, and a class it is grouped with."""
     for rows, starts in whole_runs(batches, *TILE):
-        rep, copies = rows.column("rep").to_numpy(), rows.column("copies").to_numpy()
+        place, copies = rows.column("place").to_numpy(), rows.column("copies").to_numpy()
         packed, partners = rows.column("shingles").to_pylist(), rows.column("partners").to_pylist()
-        links, parent = np.zeros(len(rep), dtype=np.int64), np.arange(len(rep))
+        links, parent = np.zeros(len(place), dtype=np.int64), np.arange(len(place))
         for start, end in zip(starts, starts[1:]):
             sets = [np.frombuffer(x, dtype=np.uint64) for x in packed[start:end]]
             size = np.array([len(s) for s in sets])
             _, ids = np.unique(np.concatenate(sets), return_inverse=True)
             bounds = np.append(0, np.cumsum(size))
-            at = {r: n for n, r in enumerate(rep[start:end].tolist())}
+            at = {r: n for n, r in enumerate(place[start:end].tolist())}
             mark = np.zeros(len(ids), dtype=np.int64)
             for i in range(end - start):
                 others = np.array([at[r] for r in partners[start + i] if r in at], dtype=np.int64)
@@ -232,72 +236,90 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     parent[max(a, b)] = min(a, b)
         linked = np.flatnonzero(links)
         roots = np.array([_root(parent, x) for x in linked], dtype=np.int64)
+        nodes = [rows.column(x).to_numpy() for x in NODE]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(rep[linked]), pa.array(links[linked]), pa.array(rep[roots])], ["rep", "links", "root"]
+            [pa.array(links[linked]), *[pa.array(x[linked]) for x in nodes], *[pa.array(x[roots]) for x in nodes]],
+            ["links", *NODE, *[f"root_{x}" for x in NODE]],
         )
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """Per row of `docs`: doc_id, class_id (smallest id of its group of near-duplicates), n_links, copy_id, kept.
+def _judged(docs: DataFrame) -> DataFrame:
+    """`near_duplicates` with two more columns: `t`, a hash of the text, and `first`.
 
-    `n_links` counts the other documents that it is similar to, `copy_id` is the smallest id with the same
-    shingle set, and `kept` marks the one document of each group that stays.
+    `first` marks, of the rows of a document, those with the smallest hash of their text.
     """
     ship_code(docs.sparkSession)
-    signed = checkpoint(docs.select("doc_id", "text").mapInArrow(_signed, "doc_id long, c1 long, c2 long, sig binary"))
+    hashed = docs.select("doc_id", F.xxhash64("text").alias("t"), "text")
+    signed = checkpoint(hashed.mapInArrow(_signed, "doc_id long, t long, c1 long, c2 long, sig binary"))
     known = signed.where("doc_id is not null and c1 is not null")
-    classes = known.groupBy("c1", "c2").agg(F.min("doc_id").alias("rep"), F.count_distinct("doc_id").alias("copies"), F.min("sig").alias("sig"))
-    classes = checkpoint(classes)
+    classes = known.groupBy("c1", "c2").agg(
+        F.min(F.struct("doc_id", "t")).alias("least"), F.count_distinct("doc_id").alias("copies"), F.min("sig").alias("sig")
+    )
+    classes = checkpoint(classes.select("c1", "c2", F.col("least.doc_id").alias("rep"), "least.t", "copies", "sig"))
     # Buckets with more than one class, dealt out in tiles.
     width = 2 * ROWS
     bands = F.transform(F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda b: F.struct(b.alias("band"), F.substring("sig", b * width + 1, F.lit(width)).alias("bucket")))
-    banded = classes.select("rep", F.inline(bands)).select("rep", "band", F.xxhash64("bucket").alias("bucket"))
+    banded = classes.select("c1", "c2", F.inline(bands)).select("c1", "c2", "band", F.xxhash64("bucket").alias("bucket"))
     # Grouped in a struct, so that the join shuffles anew and can split a bucket with very many classes.
     shared = banded.groupBy(F.struct("band", "bucket").alias("of")).agg(F.count(F.lit(1)).alias("members"))
     shared = shared.where("members > 1").select("of.*", "members")
     blocks = F.ceil(F.col("members") / BLOCK).cast("int")
-    side = F.pmod(F.xxhash64("rep", "band"), blocks).cast("int")
-    placed = banded.join(shared, ["band", "bucket"]).select("rep", "band", "bucket", blocks.alias("blocks"), side.alias("side"))
+    side = F.pmod(F.xxhash64("c1", "c2", "band"), blocks).cast("int")
+    placed = banded.join(shared, ["band", "bucket"]).select("c1", "c2", "band", "bucket", blocks.alias("blocks"), side.alias("side"))
     other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
     tiled = placed.withColumn("other", other).withColumns({"low": F.least("side", "other"), "high": F.greatest("side", "other")})
-    tiled = tiled.join(classes.select("rep", "copies", "c1", "sig"), "rep").select(*TILE, "side", "rep", "copies", "c1", "sig")
-    tile = "band int, bucket long, low int, high int, rep long, copies long, "
-    pruned = checkpoint(grouped(tiled, *TILE).mapInArrow(_pruned, tile + "c1 long, partners array<long>"))
-    texts = docs.select(F.col("doc_id").alias("rep"), "text").join(pruned, "rep")
-    sets = texts.select(*TILE, "rep", "copies", "c1", "partners", "text").mapInArrow(_with_shingles, tile + "partners array<long>, shingles binary")
-    found = checkpoint(grouped(sets, *TILE).mapInArrow(_verified, "rep long, links long, root long"))
-    groups = components(found.select(F.col("rep").alias("a"), F.col("root").alias("b")))
-    links = found.groupBy("rep").agg(F.sum("links").alias("links"))
-    judged = classes.select("c1", "c2", "rep", "copies").join(links, "rep", "left")
-    judged = judged.join(groups.withColumnRenamed("node", "rep"), "rep", "left").drop("sig")
-    rows = known.select("doc_id", "c1", "c2").distinct().join(judged, ["c1", "c2"])
-    # One row per id, also where an id came with several texts.
-    rows = rows.groupBy("doc_id").agg(
-        F.min(F.coalesce("component", "rep")).alias("class_id"),
-        F.sum(F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
-        F.min("rep").alias("copy_id"),
-    )
-    joined = signed.select("doc_id").join(rows, "doc_id", "left")
-    class_id = F.coalesce("class_id", "doc_id")
-    return joined.select(
+    tiled = tiled.join(classes, ["c1", "c2"]).select(*TILE, "side", *NODE, "t", "copies", "sig")
+    tile = "band int, bucket long, low int, high int, "
+    node = "rep long, c1 long, c2 long, "
+    pruned = checkpoint(grouped(tiled, *TILE).mapInArrow(_pruned, tile + node + "t long, copies long, place long, partners array<long>"))
+    texts = hashed.withColumnRenamed("doc_id", "rep").join(pruned, ["rep", "t"])
+    sets = texts.select(*TILE, *NODE, "copies", "place", "partners", "text")
+    sets = sets.mapInArrow(_with_shingles, tile + node + "copies long, place long, partners array<long>, shingles binary")
+    found = grouped(sets, *TILE).mapInArrow(_verified, "links long, " + node + "root_rep long, root_c1 long, root_c2 long")
+    this, root = F.struct(*NODE), F.struct(*[F.col(f"root_{x}").alias(x) for x in NODE])
+    found = checkpoint(found.select("links", this.alias("node"), root.alias("root")))
+    groups = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
+    links = found.groupBy("node").agg(F.sum("links").alias("links"))
+    judged = classes.select(this.alias("node"), F.col("t").alias("least_t"), "copies").join(links, "node", "left").join(groups, "node", "left")
+    # Joined by the node in a struct until here, so that the next join shuffles anew and can split a class with very many copies.
+    judged = judged.select("node.*", "node", F.coalesce("component", "node").alias("component"), "least_t", "copies", "links")
+    rows = known.select("doc_id", "t", "c1", "c2").join(judged, ["c1", "c2"]).select(
         "doc_id",
-        class_id.alias("class_id"),
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
-        F.coalesce("copy_id", "doc_id").alias("copy_id"),
-        (class_id == F.col("doc_id")).alias("kept"),
+        F.col("component.rep").alias("class_id"),
+        (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).cast("long").alias("n_links"),
+        F.col("rep").alias("copy_id"),
+        ((F.col("node") == F.col("component")) & (F.col("doc_id") == F.col("rep"))).alias("kept"),
+        "t",
+        (F.col("t") == F.col("least_t")).alias("first"),
     )
+    own, id_ = signed.where("doc_id is null or c1 is null"), F.col("doc_id")
+    return rows.union(own.select("doc_id", id_, F.lit(0).cast("long"), id_, id_ == id_, "t", F.lit(True)))
+
+
+def near_duplicates(docs: DataFrame) -> DataFrame:
+    """Per row of `docs`: doc_id, class_id (smallest id of its group of near-duplicates), n_links, copy_id, kept.
+
+    `n_links` counts the other documents that it is similar to, `copy_id` is the smallest id with the same
+    shingle set, and `kept` marks the one document of each group that stays: the one with the smallest id, and
+    of several texts of that id the one with the smallest hash of its shingle set.
+    """
+    return _judged(docs).drop("t", "first")
 
 
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
-    """`docs` without the near-duplicates of a document that stays; of rows with one id, one stays.
+    """`docs` without the near-duplicates of a document that stays; of rows that repeat a document, one stays.
 
-    Rows whose id is NULL take no part and stay.
+    It is the one with the smallest hash of its text, then of its other columns. Rows whose id is NULL take no
+    part and stay; texts without words stay, once for each id and text.
     """
-    kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_op2_id")).distinct().withColumn("_op2_kept", F.lit(True))
-    joined = attach(docs.withColumn("_op2_id", F.col("doc_id")), "_op2_id", kept, ["_op2_kept"])
+    kept = _judged(docs).where("kept and first").select(F.struct("doc_id", "t").alias("_op2_key")).distinct().withColumn("_op2_kept", F.lit(True))
+    keyed = docs.withColumn("_op2_key", F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("t")))
+    joined = attach(keyed, "_op2_key", kept, ["_op2_kept"])
     columns = [F.col(f"row.`{c}`") for c in docs.columns]
-    first = joined.where("_op2_kept").groupBy("row._op2_id").agg(F.first("row").alias("row"))
-    return first.select(*columns).unionByName(joined.where("row._op2_id is null").select(*columns))
+    others = [F.col(f"row.`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
+    order = F.xxhash64(F.to_json(F.struct(*others))) if others else F.lit(0)
+    first = joined.where("_op2_kept").groupBy("row._op2_key").agg(F.min_by("row", order).alias("row"))
+    return first.select(*columns).unionByName(joined.where("row.doc_id is null").select(*columns))
 
 
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,9 +1,10 @@
 import random
 import re
+from collections import Counter
 
 from tests.llm.conftest import SF
 
-from shelfstrata.llm.ngram_join import least_matches, near_duplicates
+from shelfstrata.llm.ngram_join import keep_one_of_each, least_matches, near_duplicates
 
 
 def sets_of(texts):
@@ -70,3 +71,27 @@ def test_bounds_of_matches():
     fewest = least_matches()
     assert fewest == sorted(fewest) and all(m < k or k == 0 for k, m in enumerate(fewest))
     assert 45 < fewest[96] < 77  # 0.8 of 96 is never dropped
+
+
+def _other_texts():
+    """Two texts that have nothing in common, and a near copy of each."""
+    x, y = (" ".join(f"{c}{i}" for i in range(60)) for c in "xy")
+    return x, y, x + " end", y + " end"
+
+
+def test_an_id_with_texts_that_have_nothing_in_common(docs_of):
+    x, y, x2, y2 = _other_texts()
+    rows = [(3, x2), (7, x), (7, y), (9, y2), (5, ""), (5, "..."), (5, "one word"), (5, "One WORD"), (5, "..."), (None, x)]
+    docs = docs_of(rows)
+    got = Counter((r.doc_id, r.class_id, r.n_links, r.copy_id, r.kept) for r in near_duplicates(docs).collect())
+    want = [(3, 3, 1, 3, True), (7, 3, 1, 7, False), (7, 7, 1, 7, True), (9, 7, 1, 9, False), *[(5, 5, 0, 5, True)] * 5, (None, None, 0, None, None)]
+    assert got == Counter(want)
+    kept = Counter((r.doc_id, r.text.lower()) for r in keep_one_of_each(docs).collect())
+    assert kept == Counter([(3, x2), (7, y), (5, ""), (5, "..."), (5, "one word"), (None, x)])
+
+
+def test_the_row_that_stays_does_not_depend_on_the_order(docs_of, spark):
+    x, _, x2, _ = _other_texts()
+    rows = [(1, x, f"lang {i}", "s") for i in range(40)] + [(1, x2, "lang", "s"), (1, x.upper(), "lang", "s")]
+    stay = [keep_one_of_each(docs_of(r).repartition(n)).collect() for r, n in ((rows, 1), (rows[::-1], 7))]
+    assert stay[0] == stay[1] and len(stay[0]) == 1
