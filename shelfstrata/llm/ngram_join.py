@@ -192,15 +192,37 @@ def _pruned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield from kept.combine_chunks().to_batches()
 
 
+def _tuples(batch: pa.RecordBatch, names: tuple[str, ...]) -> Iterator[tuple]:
+    return zip(*(batch.column(x).to_pylist() for x in names))
+
+
 def _with_shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    hashes = _WordHashes()
+    """Each class of a tile with its shingles. A join brings repeated rows one after the other; one of them goes on."""
+    hashes, last, packed, seen = _WordHashes(), None, None, set()
     for batch in batches:
-        sets = [shingle_set(x.as_py(), hashes) for x in batch.column("text")]
-        # Texts of one id are told apart by a hash; should two have the same, the class decides.
-        same = [bool(len(s)) and _class_of(s) == c for s, c in zip(sets, zip(batch.column("c1").to_pylist(), batch.column("c2").to_pylist()))]
-        rest = batch.select([*TILE, *NODE, "copies", "place", "partners"])
-        out = pa.table(rest).append_column("shingles", pa.array([s.tobytes() for s in sets], pa.binary()))
-        yield from out.filter(pa.array(same, pa.bool_())).combine_chunks().to_batches()
+        taken, sets = [], []
+        for n, (node, spot, text) in enumerate(zip(_tuples(batch, NODE), _tuples(batch, (*TILE, "place")), batch.column("text"))):
+            if node != last:
+                last, packed, seen = node, None, set()
+            if packed is None:
+                found = shingle_set(text.as_py(), hashes)
+                # Texts of one id are told apart by a hash; should two have the same, the class decides.
+                if not len(found) or _class_of(found) != node[1:]:
+                    continue
+                packed = found.tobytes()
+            if spot not in seen:
+                seen.add(spot)
+                taken.append(n)
+                sets.append(packed)
+        out = pa.table(batch.select([*TILE, *NODE, "copies", "place", "partners"])).take(pa.array(taken, pa.int64()))
+        yield from out.append_column("shingles", pa.array(sets, pa.binary())).combine_chunks().to_batches()
+
+
+def _once(rows: pa.Table, starts: np.ndarray) -> tuple[pa.Table, np.ndarray]:
+    """The first row of each place of a run, with the starts of the runs."""
+    place = rows.column("place").to_numpy()
+    first = [a + np.sort(np.unique(place[a:b], return_index=True)[1]) for a, b in zip(starts, starts[1:])]
+    return rows.take(pa.array(np.concatenate(first))), np.append(0, np.cumsum([len(x) for x in first]))
 
 
 def _root(parent: np.ndarray, x: int) -> int:
@@ -212,6 +234,7 @@ def _root(parent: np.ndarray, x: int) -> int:
 def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Per tile and class: with how many documents it is linked here, and a class it is grouped with."""
     for rows, starts in whole_runs(batches, *TILE):
+        rows, starts = _once(rows, starts)
         place, copies = rows.column("place").to_numpy(), rows.column("copies").to_numpy()
         packed, partners = rows.column("shingles").to_pylist(), rows.column("partners").to_pylist()
         links, parent = np.zeros(len(place), dtype=np.int64), np.arange(len(place))

@@ -95,3 +95,10 @@ def test_the_row_that_stays_does_not_depend_on_the_order(docs_of, spark):
     rows = [(1, x, f"lang {i}", "s") for i in range(40)] + [(1, x2, "lang", "s"), (1, x.upper(), "lang", "s")]
     stay = [keep_one_of_each(docs_of(r).repartition(n)).collect() for r, n in ((rows, 1), (rows[::-1], 7))]
     assert stay[0] == stay[1] and len(stay[0]) == 1
+
+
+def test_repeated_rows_with_a_near_duplicate(docs_of):
+    x, _, x2, _ = _other_texts()
+    rows = [(2, x), (3, x2)] * 3 + [(2, x.upper()), (4, x2), (4, x2)]
+    got = {(r.doc_id, r.class_id, r.n_links, r.copy_id, r.kept) for r in near_duplicates(docs_of(rows)).collect()}
+    assert got == {(2, 2, 2, 2, True), (3, 2, 2, 3, False), (4, 2, 2, 3, False)}
