@@ -14,6 +14,8 @@ BLOCKS = frozenset(
 )
 SILENT = frozenset("script style noscript template svg math iframe object embed canvas audio video head title textarea select datalist".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
+#: What can stand in the head; anything else that begins there, and text, ends it.
+IN_HEAD = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
 #: An element that is still open when one of these begins ends there.
 ENDED_BY = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"}, "th": {"td", "th", "tr"}, "option": {"option"}}
 #: What a search for such an element does not look beyond.
@@ -66,7 +68,13 @@ class _Reader(HTMLParser):
             self.links -= x.tag == "a"
         del self.stack[at:]
 
+    def end_head(self) -> None:
+        if self.stack and self.stack[-1].tag == "head":
+            self.close_to(len(self.stack) - 1)
+
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
+        if tag not in IN_HEAD:
+            self.end_head()
         if tag in BLOCKS:
             self.flush()
             for at in range(len(self.stack) - 1, -1, -1):
@@ -74,7 +82,7 @@ class _Reader(HTMLParser):
                 if (above == "p" and tag in BLOCKS) or tag in ENDED_BY.get(above, ()):
                     self.close_to(at)
                     break
-                if above in SCOPES:
+                if above in SCOPES or above in SILENT:
                     break
         elif tag == "br":
             self.parts.append(" ")
@@ -101,10 +109,12 @@ class _Reader(HTMLParser):
             if self.stack[at].tag == tag:
                 self.close_to(at)
                 return
-            if tag not in BLOCKS and self.stack[at].tag in BLOCKS:
+            if tag not in BLOCKS and tag not in SILENT and self.stack[at].tag in BLOCKS:
                 return
 
     def handle_data(self, data: str) -> None:
+        if not data.isspace():
+            self.end_head()
         if not self.silent:
             self.parts.append(data)
             if self.links:

@@ -160,6 +160,22 @@ def test_leaf_blocks(html, texts):
     assert [b.text for b in blocks_of(html)] == texts
 
 
+@pytest.mark.parametrize(
+    ("html", "texts"),
+    [
+        ("<body><noscript><p>Enable scripts</noscript><p>a</p><template><li>x</template>b</body>", ["a", "b"]),
+        ("<div><object><div>x</object>a<svg><desc><p>y</svg>b</div>", ["a", "b"]),
+        ("<p>a<noscript><p>x</p></noscript>b</p>", ["a", "b"]),
+        ("<head><title>t</title><article><p>Text</article>", ["Text"]),
+        ("<html><head><meta charset=x><title>t</title>\n<script>s</script><style>s</style>Text<div>more</div>", ["Text", "more"]),
+        ("<head><noscript><img src=x><p>no</p></noscript><link rel=x><title>t</title></head><p>a", ["a"]),
+        ("<head><title>t</title><a href=x>a</a></head>b", ["ab"]),
+    ],
+)
+def test_leaf_blocks_of_sloppy_pages(html, texts):
+    assert [b.text for b in blocks_of(html)] == texts
+
+
 PAGES = {
     "a": ("<nav><ul><li><a href=/>Home</a></li></ul></nav><article><h1>Title</h1><p>First one, of words.</p><div class='ad'>Buy now.</div><p>Second &amp; last.</p></article><footer>&copy; us</footer>", "Title\nFirst one, of words.\nSecond & last."),
     "b": ("<div class='menu'><a>One</a> <a>Two</a></div><div class='content'><h1>Some title</h1><p>A text of the article, which is told in words.</p></div><div id='comments'><div class='comment'><p>I do not agree with it, at all.</p></div></div>", "Some title\nA text of the article, which is told in words."),
