@@ -11,6 +11,7 @@ from shelfstrata.llm.mixing import OP6_SQL, op6_mixing
 from shelfstrata.llm.ngram_join import OP2_SQL, op2_ngram_join
 from shelfstrata.llm.secrets import OP4_SQL, op4_secrets
 from shelfstrata.llm.simhash import op13_simhash_fingerprints
+from shelfstrata.llm.spelling import OP11_SQL, op11_spelling_variants
 from shelfstrata.llm.suffix_dedup import op1_suffix_dedup
 from shelfstrata.llm.toxicity import op3_toxicity
 from shelfstrata.llm.warc import op7_warc
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_embedding_dedup": op8_embedding_dedup,
     "op9_html_extraction": op9_html_extraction,
     "op10_decontamination": op10_decontamination,
+    "op11_spelling_variants": op11_spelling_variants,
     "op12_merkle_manifest": op12_merkle_manifest,
     "op13_simhash_fingerprints": op13_simhash_fingerprints,
 }
@@ -36,5 +38,6 @@ ORACLES = {
     "op6_mixing": OP6_SQL,
     "op8_embedding_dedup": OP8_SQL,
     "op10_decontamination": OP10_SQL,
+    "op11_spelling_variants": OP11_SQL,
     "op12_merkle_manifest": OP12_SQL,
 }
