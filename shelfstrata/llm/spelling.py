@@ -157,7 +157,10 @@ def differ_by_one(a: str, b: str) -> bool:
     if a == b or abs(len(a) - len(b)) > 1:
         return False
     shorter, longer = sorted((a, b), key=len)
-    k = next((i for i, (x, y) in enumerate(zip(shorter, longer)) if x != y), len(shorter))
+    k, end = 0, len(shorter)
+    while k < end:
+        middle = (k + end + 1) // 2
+        k, end = (middle, end) if shorter[k:middle] == longer[k:middle] else (k, middle - 1)
     return shorter[k + (len(a) == len(b)) :] == longer[k + 1 :]
 
 
