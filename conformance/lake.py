@@ -10,7 +10,7 @@ from conformance.adapter import read_entity
 from shelfstrata.operators.conform import conform
 from shelfstrata.plans import intermediate, marts
 from shelfstrata.plans.silver import to_silver
-from shelfstrata.plans.staging import STAGING
+from shelfstrata.plans.staging import STAGING, stg_orders
 from shelfstrata.schemas import ENTITIES, SILVER_METADATA
 from shelfstrata.sources.landing import read_csv, write_csv
 from shelfstrata.sources.scratch import scratch_folder
@@ -96,6 +96,7 @@ class Lake:
             "fct_inventory_snapshot": lambda: marts.fct_inventory_snapshot(self.position),
             "mart_daily_retail_kpis": lambda: marts.mart_daily_retail_kpis(self.sales),
             "mart_promotion_performance": lambda: marts.mart_promotion_performance(
-                self.staged("promotions"), self.revenue
+                # Days of headers not yet deduplicated cover those of all lines, and are read without a shuffle.
+                self.staged("promotions"), self.revenue, stg_orders(self.conformed("orders"))
             ),
         }[name]()

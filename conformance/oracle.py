@@ -587,4 +587,44 @@ def all_oracles() -> dict[str, str]:
         f"select event_id, concat_ws(',', {listed}) as broken_rules from events "
         f"where {' or '.join(broken.values())}"
     )
+    sql["x_incremental_silver"] = f"""
+        select * replace (case when status = 'returned' then 'refunded' else customer_note end as customer_note,
+                          case when status = 'returned' then order_timestamp + interval 1 day
+                               else order_timestamp end as order_timestamp)
+        from ({_landed('orders')})
+    """
+    number = "cast(right(store_id, 4) as integer) % 10"
+    sql["bronze_bad_rows"] = f"""
+        select store_id, case {number} when 3 then 'surplus_fields' when 6 then 'missing_fields'
+                                       when 9 then 'open_quote' else 'good' end as reason
+        from raw_stores
+        where {number} <> 9 or store_id = (select min(store_id) from raw_stores where {number} = 9)
+    """
+    first, second = "ts < timestamp '2024-01-11'", "ts >= timestamp '2024-01-11' and ts < timestamp '2024-01-21'"
+    behind = "(select max(ts) - interval 2 day from {})".format
+    sql["x_stream_late"] = f"""
+        with d1 as (select * from events where {first} and event_id % 10 <> 3),
+        d2 as (select *, {second} as is_new from events where ({second}) or ({first} and event_id % 10 <> 3 and event_id % 7 = 0)),
+        d3 as (select *, ts >= timestamp '2024-01-21' or ({first}) as is_new from events
+               where ts >= timestamp '2024-01-21' or ({first} and event_id % 10 = 3) or ({second} and event_id % 7 = 1)),
+        rows as (select event_id, ts, true as is_new, null::timestamp as mark from d1
+                 union all select event_id, ts, is_new, {behind('d1')} from d2
+                 union all select event_id, ts, is_new, {behind('d2')} from d3)
+        select event_id, case when ts < mark then 'late' when is_new then 'passed' else 'duplicate' end as outcome,
+               case when ts < mark then (epoch_us(mark) - epoch_us(ts)) / 1e6 end as lateness_seconds
+        from rows
+    """
+    sql["x_stream_unique"] = """
+        select event_id, user_id, event_type, day
+        from (select *, cast(ts as date) as day from events)
+        qualify count(*) over (partition by user_id, event_type, day) > 1
+    """
+    sql["x_stream_orphans"] = """
+        with children as (select event_id, user_id, ts, event_id - event_id % 4 as opened_by from events
+                          where event_id % 4 <> 0 and event_type = 'purchase'),
+        parents as (select event_id, ts from events where event_id % 4 = 0 and event_type <> 'signup')
+        select event_id, user_id, opened_by from children
+        where opened_by not in (select event_id from parents)
+          and ts + interval 5 day <= date_trunc('milliseconds', least((select max(ts) from children), (select max(ts) from parents)) - interval 1 day)
+    """
     return {key: expand(text) for key, text in sql.items()}

@@ -15,13 +15,13 @@ from shelfstrata.operators.conform import conform
 from shelfstrata.operators.dedup import keep_latest
 from shelfstrata.operators.modeltests import model_test_report
 from shelfstrata.operators.rules import Contract, Rule
-from shelfstrata.plans import checks, insights, intermediate, marts
+from shelfstrata.plans import checks, incremental, insights, intermediate, marts
 from shelfstrata.plans.bronze import SOURCE_FILES, ingest_all
 from shelfstrata.schemas import ENTITIES, SILVER_METADATA
 from shelfstrata.sources import landing, tables
 from shelfstrata.sources.quarantine import read_quarantine, write_quarantine
 from shelfstrata.sources.scratch import scratch_folder
-from shelfstrata.streaming import events as streams
+from shelfstrata.streaming import events as streams, keyed
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -407,6 +407,96 @@ def x_stream_validate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return broken.select("event_id", F.array_join("_broken_rules", ",").alias("broken_rules"))
 
 
+def _stream_of(spark: SparkSession, sf_dir: str, folder: str) -> DataFrame:
+    return streams.read_files(spark, folder, spark.read.parquet(f"{sf_dir}/events.parquet").schema)
+
+
+def _delivered(spark: SparkSession, sf_dir: str, purpose: str, deliveries: list[str], run: Callable[[str], None]) -> str:
+    """Events delivered in turn, by condition; ``run`` reads what has come after each delivery, restarted every time."""
+    base, events = scratch_folder(spark, purpose), Lake(spark, sf_dir).table("events")
+    for condition in deliveries:
+        events.filter(condition).write.mode("append").parquet(f"{base}/in")
+        run(base)
+    return base
+
+
+def x_incremental_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders landed in three deliveries, the last one with changes to returned orders, each merged as it comes."""
+    base, orders = scratch_folder(spark, "incremental"), Lake(spark, sf_dir).text("orders")
+    returned = orders.filter("status = 'returned'").withColumns({
+        "customer_note": F.lit("refunded"),
+        "order_timestamp": (F.col("order_timestamp").cast("timestamp") + F.expr("interval 1 day")).cast("string"),
+    })
+    early = F.col("order_timestamp") < "1998"
+    for number, delivery in enumerate((orders.filter(early), orders.filter(~early), returned)):
+        landing.write_csv(delivery, f"{base}/landing/delivery-{number}")
+        incremental.merge_new(spark, "orders", f"{base}/landing", f"{base}/silver", partitions=16)
+    return incremental.read_silver(spark, f"{base}/silver", "orders")
+
+
+def bronze_bad_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stores landed as plain lines, some with a field too many or too few, and a file whose first line opens a quote."""
+    base, stores = scratch_folder(spark, "bad-rows"), Lake(spark, sf_dir).text("stores")
+    columns = stores.columns
+    number = F.substring("store_id", -4, 4).cast("int")
+    whole = F.concat_ws(",", *[F.coalesce(c, F.lit("")) for c in columns])
+    line = F.when(number % 10 == 3, F.concat(whole, F.lit(",surplus"))).when(number % 10 == 6, F.substring_index(whole, ",", 4)).otherwise(whole)
+    stores.filter(number % 10 != 9).select(line).write.text(f"{base}/lines")
+    rest = stores.filter(number % 10 == 9).orderBy("store_id").coalesce(1)
+    first = rest.agg(F.min("store_id")).scalar()
+    rest.select(F.when(F.col("store_id") == first, F.concat(F.lit('"'), whole)).otherwise(whole)).write.text(f"{base}/open")
+    good, bad = landing.read_csv_checked(spark, [f"{base}/lines", f"{base}/open"], columns, header=False)
+    broken = bad.select(F.regexp_extract("_record", "STORE-[0-9]+", 0).alias("store_id"), F.col("_reason").alias("reason"))
+    return good.select("store_id", F.lit("good").alias("reason")).unionByName(broken)
+
+
+def x_stream_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events in three deliveries with repeated and late ones: each row passed, a duplicate, or late."""
+    first, second = "ts < '2024-01-11'", "ts >= '2024-01-11' and ts < '2024-01-21'"
+
+    def run(base: str) -> None:
+        stream = _stream_of(spark, sf_dir, f"{base}/in")
+        keyed.outcomes_to(stream, ["event_id"], "ts", "2 days", f"{base}/out", f"{base}/checkpoint").awaitTermination()
+
+    base = _delivered(spark, sf_dir, "stream-late", [
+        f"{first} and event_id % 10 <> 3",
+        f"{second} or ({first} and event_id % 10 <> 3 and event_id % 7 = 0)",
+        f"ts >= '2024-01-21' or ({first} and event_id % 10 = 3) or ({second} and event_id % 7 = 1)",
+    ], run)
+    told = keyed.read_outcomes(spark, f"{base}/out")
+    return told.select("event_id", F.col("_outcome").alias("outcome"), F.col("_lateness").alias("lateness_seconds"))
+
+
+def x_stream_unique(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All events of a user, kind and day that has more than one, found over two deliveries."""
+
+    def run(base: str) -> None:
+        stream = _stream_of(spark, sf_dir, f"{base}/in").withColumn("day", F.to_date("ts"))
+        keys = ["user_id", "event_type", "day"]
+        keyed.duplicates_to(stream, keys, "ts", "40 days", f"{base}/out", f"{base}/checkpoint").awaitTermination()
+
+    base = _delivered(spark, sf_dir, "stream-unique", ["event_id % 2 = 0", "event_id % 2 = 1"], run)
+    return keyed.read_duplicates(spark, f"{base}/out").select("event_id", "user_id", "event_type", "day")
+
+
+def x_stream_orphans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Purchases whose opening event, every fourth event that is no signup, never came; children are delivered before parents."""
+
+    def run(base: str) -> None:
+        opened = F.col("event_id") - F.col("event_id") % 4
+        events = _stream_of(spark, sf_dir, f"{base}/in")
+        children = events.filter("event_id % 4 <> 0 and event_type = 'purchase'").select("event_id", "user_id", "ts", opened.alias("opened_by"))
+        parents = _stream_of(spark, sf_dir, f"{base}/in").filter("event_id % 4 = 0 and event_type <> 'signup'")
+        found = keyed.orphans(children, parents, "opened_by", "event_id", "ts", "ts", "5 days", "1 day", spread_by=F.col("event_id"), ways=4)
+        found = found.select("event_id", "user_id", "opened_by")
+        streams.append_to(found, f"{base}/out", f"{base}/checkpoint").awaitTermination()
+
+    base = _delivered(spark, sf_dir, "stream-orphans", [
+        "event_id % 4 <> 0 and ts < '2024-01-21'", "event_id % 4 = 0 or ts >= '2024-01-21'"
+    ], run)
+    return spark.read.parquet(f"{base}/out")
+
+
 def all_queries() -> dict[str, Query]:
     queries: dict[str, Query] = {
         "conform_orders": conform_orders,
@@ -476,5 +566,10 @@ def all_queries() -> dict[str, Query]:
         "x_stream_dedup": x_stream_dedup,
         "x_stream_volume": x_stream_volume,
         "x_stream_validate": x_stream_validate,
+        "x_incremental_silver": x_incremental_silver,
+        "bronze_bad_rows": bronze_bad_rows,
+        "x_stream_late": x_stream_late,
+        "x_stream_unique": x_stream_unique,
+        "x_stream_orphans": x_stream_orphans,
     }
     return queries
