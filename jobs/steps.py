@@ -104,7 +104,7 @@ def gold(spark: SparkSession, args: argparse.Namespace) -> None:
     store("mart_daily_retail_kpis", marts.mart_daily_retail_kpis(sales))
     store(
         "mart_promotion_performance",
-        marts.mart_promotion_performance(staged["promotions"], sales),
+        marts.mart_promotion_performance(staged["promotions"], sales, staged["orders"]),
     )
     say("gold", rows=rows)
 

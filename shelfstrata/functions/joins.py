@@ -34,8 +34,9 @@ def interval_join(
     if points.schema[on].dataType != intervals.schema[on].dataType:
         raise ValueError(f"Join column {on} differs in type")
     months = (points if days is None else days).select(month_bucket(F.col(day)).alias("_month"))
-    first = months.agg(F.min("_month")).scalar()
-    last = months.agg(F.max("_month")).scalar()
+    both = F.struct(F.min("_month").alias("first"), F.max("_month").alias("last"))
+    bounds = months.agg(both.alias("bounds")).scalar()
+    first, last = bounds.getField("first"), bounds.getField("last")
     bounded = intervals.filter(F.col(start) <= F.col(end)).select(
         "*",
         F.greatest(month_bucket(F.col(start)), first).alias("_from"),

@@ -104,14 +104,18 @@ def mart_daily_retail_kpis(sales: DataFrame) -> DataFrame:
     )
 
 
-def mart_promotion_performance(promotions: DataFrame, order_revenue: DataFrame) -> DataFrame:
+def mart_promotion_performance(
+    promotions: DataFrame, order_revenue: DataFrame, days: DataFrame | None = None
+) -> DataFrame:
     """Attributed orders, units, revenue and margin per promotion; unsold ones with 0 and NULLs.
 
+    ``days`` may name a cheaper source of the order dates (see ``interval_join``), such as the order headers.
+
     The matched lines are added up first, so that only one row per sold promotion meets the
     promotions again to bring in the unsold ones.
     """
     performance = (
-        attributed_lines(promotions, order_revenue)
+        attributed_lines(promotions, order_revenue, days)
         .groupBy(*[F.col(c).alias(f"_{c}") for c in PROMOTION_COLUMNS])
         .agg(
             F.count_distinct("order_id").alias("promotion_attributed_orders"),
