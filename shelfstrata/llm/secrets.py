@@ -14,8 +14,9 @@ this lets more candidates through, never fewer.
 Positions are counted in code points, ends are exclusive, and matches of one kind are those of a search
 from the left without overlaps; a match that fails its rule's length still uses up its text.
 
-Defined cases: a NULL text is empty and has no spans; rows that repeat an id are scanned each by itself;
-rows with a NULL id are candidates if any such row is; an empty table gives no rows.
+Defined cases: a NULL text is empty and has no spans; ids may be of any type; rows that repeat an id are scanned each by itself,
+and all of them if one is a candidate; all rows with a NULL id are scanned; texts are searched whole, however long; an empty table
+gives no rows; other columns are not looked at, and masking leaves them as they are.
 """
 
 from __future__ import annotations
@@ -38,13 +39,14 @@ class Rule:
     at_least: int  # characters that `group` of a match must have
     group: int = 0
     base: bool = True
+    screen: str = ""  # for a rule without trigrams: an expression that any text with a span matches, tried first as it is cheap
 
 
 #: The base kinds, in their order, and two public token formats besides.
 RULES = (
     Rule("assign", r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", 8, group=2),
     Rule("access", r"AKIA[A-Z0-9]+", 16),
-    Rule("hex", r"[0-9a-f]+", 32),
+    Rule("hex", r"[0-9a-f]+", 32, screen="[0-9a-f]{32}"),
     Rule("pem", r"-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----", 1, base=False),
     Rule("github", r"gh[pousr]_[A-Za-z0-9]{36}", 1, base=False),
 )
@@ -174,10 +176,6 @@ def _of_kind(kind: str) -> Callable[[Column], Column]:
     return lambda s: s["kind"] == kind
 
 
-#: A rule that scans every text is tried cheaply first: this must match for any span of the kind to exist.
-SCREENS = {"hex": "[0-9a-f]{32}"}
-
-
 def spans(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """Every row of `docs` as the struct `row`, with `spans`: array of (start, rank, end, kind) in order."""
     queries = {r.kind: trigram_query(r.regex) for r in rules}
@@ -189,7 +187,7 @@ def spans(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     text, parts = F.coalesce("row.text", F.lit("")), []
     none = F.array().cast("array<struct<start:int,rank:int,end:int,kind:string>>")
     for rank, rule in enumerate(rules):
-        worth = F.array_contains(kinds, rule.kind) if queries[rule.kind] else text.rlike(SCREENS.get(rule.kind, ""))
+        worth = F.array_contains(kinds, rule.kind) if queries[rule.kind] else text.rlike(rule.screen)
         parts.append(F.when(worth, F.transform(_matches(text, rule), _named(rank, rule.kind))).otherwise(none))
     return joined.select("row", F.array_sort(F.concat(*parts)).alias("spans"))
 

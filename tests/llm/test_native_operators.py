@@ -11,7 +11,17 @@ from tests.llm.conftest import SF
 
 from shelfstrata.llm.decontamination import contamination, drop_contaminated, proximity_matches
 from shelfstrata.llm.mixing import mix, taken_per_document
-from shelfstrata.llm.secrets import RULES, mask_secrets, secret_digest, trigram_query
+from shelfstrata.llm.secrets import RULES, Rule, mask_secrets, secret_digest, spans, trigram_query
+
+
+
+def test_a_rule_of_ones_own_is_not_screened_by_its_name(docs_of):
+    docs = docs_of([(1, "id " + "ABCDEF0123456789" * 2), (2, "id " + "0123456789abcdef"), (3, "none")])
+    for rule, wanted in ((Rule("hex", "[0-9A-Fa-f]+", 32), {1: [(3, 35)], 2: [], 3: []}), (Rule("hex", "[0-9a-f]+", 16), {1: [], 2: [(3, 19)], 3: []})):
+        got = {r.row.doc_id: [(s.start, s.end) for s in r.spans] for r in spans(docs, (rule,)).collect()}
+        assert got == wanted
+    masked = {r.doc_id: r.text for r in mask_secrets(docs, (Rule("hex", "[0-9a-f]+", 16),)).collect()}
+    assert masked[2] == "id [SECRET]" and masked[3] == "none"
 
 
 # --- mixing --------------------------------------------------------------------------------------------------
