@@ -6,13 +6,15 @@ import re
 from dataclasses import dataclass, field
 from html.parser import HTMLParser
 
-#: Elements of HTML that begin a block of their own, that hold no text of the page, and that have no end.
+#: Elements of HTML that begin a block of their own, that hold no text of the page (code, the head, and what a form
+#: offers to choose or holds typed in), that embed something beside or instead of text, and that have no end.
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form"
     " frameset h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary table tbody td"
     " tfoot th thead title tr ul".split()
 )
-SILENT = frozenset("script style noscript template svg math iframe object embed canvas audio video head title textarea select datalist".split())
+SILENT = frozenset("script style template head title textarea select datalist".split())
+EMBEDDED = frozenset("noscript svg math iframe object canvas audio video".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: What can stand in the head; anything else that begins there, and text, ends it.
 IN_HEAD = frozenset("base basefont bgsound head html link meta noframes noscript script style template title".split())
@@ -82,7 +84,7 @@ class _Reader(HTMLParser):
                 if (above == "p" and tag in BLOCKS) or tag in ENDED_BY.get(above, ()):
                     self.close_to(at)
                     break
-                if above in SCOPES or above in SILENT:
+                if above in SCOPES or above in SILENT or above in EMBEDDED:
                     break
         elif tag == "br":
             self.parts.append(" ")
@@ -107,9 +109,11 @@ class _Reader(HTMLParser):
             self.flush()
         for at in range(len(self.stack) - 1, -1, -1):
             if self.stack[at].tag == tag:
+                if any(x.tag in BLOCKS for x in self.stack[at:]):
+                    self.flush()
                 self.close_to(at)
                 return
-            if tag not in BLOCKS and tag not in SILENT and self.stack[at].tag in BLOCKS:
+            if tag not in BLOCKS and tag not in SILENT and tag not in EMBEDDED and self.stack[at].tag in BLOCKS:
                 return
 
     def handle_data(self, data: str) -> None:

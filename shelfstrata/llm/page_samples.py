@@ -80,6 +80,8 @@ class _Page:
         return f"<{(t := self.rng.choice(('div', 'div', 'aside', 'section')))}{self.named('ad')}>{self.rng.choice((self.prose(3), f'<p>{self.prose(2)}</p>', self.link()))}</{t}>"
 
     def notice(self) -> str:
+        if self.rng.random() < 0.15:
+            return f"<noscript>{self.rng.choice((self.prose(2), f'<p>{self.prose(2)}</p>'))}</noscript>"
         return f"<{(t := self.rng.choice(('div', 'div', 'section', 'p')))}{self.named('notice')}>{self.prose(3)}</{t}>"
 
     def side(self) -> str:

@@ -163,9 +163,11 @@ def test_leaf_blocks(html, texts):
 @pytest.mark.parametrize(
     ("html", "texts"),
     [
-        ("<body><noscript><p>Enable scripts</noscript><p>a</p><template><li>x</template>b</body>", ["a", "b"]),
-        ("<div><object><div>x</object>a<svg><desc><p>y</svg>b</div>", ["a", "b"]),
-        ("<p>a<noscript><p>x</p></noscript>b</p>", ["a", "b"]),
+        ("<body><noscript><p>Enable scripts</noscript><p>a</p><template><li>x</template>b</body>", ["Enable scripts", "a", "b"]),
+        ("<div><object><div>x</object>a<svg><desc><p>y</svg>b</div>", ["x", "a", "y", "b"]),
+        ("<p>a<noscript><p>x</p></noscript>b</p>", ["a", "x", "b"]),
+        ("<p>Energy <math><mi>E</mi><mo>=</mo><mi>m</mi></math> equals.</p>", ["Energy E=m equals."]),
+        ("<p>See <object>fallback words</object>, <video>or these</video>.<select><option>x</select><textarea>y</textarea></p>", ["See fallback words, or these."]),
         ("<head><title>t</title><article><p>Text</article>", ["Text"]),
         ("<html><head><meta charset=x><title>t</title>\n<script>s</script><style>s</style>Text<div>more</div>", ["Text", "more"]),
         ("<head><noscript><img src=x><p>no</p></noscript><link rel=x><title>t</title></head><p>a", ["a"]),
@@ -180,6 +182,7 @@ PAGES = {
     "a": ("<nav><ul><li><a href=/>Home</a></li></ul></nav><article><h1>Title</h1><p>First one, of words.</p><div class='ad'>Buy now.</div><p>Second &amp; last.</p></article><footer>&copy; us</footer>", "Title\nFirst one, of words.\nSecond & last."),
     "b": ("<div class='menu'><a>One</a> <a>Two</a></div><div class='content'><h1>Some title</h1><p>A text of the article, which is told in words.</p></div><div id='comments'><div class='comment'><p>I do not agree with it, at all.</p></div></div>", "Some title\nA text of the article, which is told in words."),
     "c": ("<header><h1>Site</h1></header><main><p>Only paragraph here, of the article.</p></main><aside><p>Read this as well, it is good.</p></aside><form><label>Your name</label><p>We send you mail.</p></form>", "Only paragraph here, of the article."),
+    "d": ("<noscript><p>Please turn on scripts, now.</p></noscript><nav><a>Home</a></nav><article><h1>Title</h1><p>Energy <math><mi>E</mi><mo>=</mo><mi>m</mi></math> equals, as we know.</p><p>More text here, in words.</p><noscript><p>Only text here, of the article.</p></noscript><p>And the last one, in words.</p></article><footer>&copy; us</footer>", "Title\nEnergy E=m equals, as we know.\nMore text here, in words.\nOnly text here, of the article.\nAnd the last one, in words."),
 }
 
 
