@@ -84,6 +84,66 @@ def test_windows_cover_and_overlap(n):
     assert (np.diff(starts) == toxicity.STRIDE).all() and (len(starts) == 1 or starts[-2] + toxicity.WINDOW < n)
 
 
+def test_passages_lie_whole_in_a_window():
+    for n in range(1, 200):
+        starts = toxicity.windows(n)
+        assert all(any(s <= at and at + 17 <= s + toxicity.WINDOW for s in starts) for at in range(max(n - 16, 0)))
+
+
+def plain_logit(text, p):
+    """The network on the worst window, gate by gate and a step at a time, in double precision."""
+    sigmoid = lambda x: 1 / (1 + np.exp(-x))
+
+    def read(xs, name, hidden):
+        states = []
+        for way, order in (("f", range(len(xs))), ("b", range(len(xs) - 1, -1, -1))):
+            h, out = np.zeros(hidden), {}
+            w, u, b = (p[f"{name}{k}_{way}"].astype(float) for k in "WUb")
+            for t in order:
+                a, q = xs[t] @ w + b, h @ u
+                z, r = sigmoid(a[:hidden] + q[:hidden]), sigmoid(a[hidden : 2 * hidden] + q[hidden : 2 * hidden])
+                h = z * h + (1 - z) * np.tanh(a[2 * hidden :] + r * q[2 * hidden :])
+                out[t] = h
+            states.append([out[t] for t in range(len(xs))])
+        joined = [np.concatenate(x) for x in zip(*states)]
+        weights = np.exp([x @ p[f"{name}v"].astype(float) for x in joined])
+        return sum(w * x for w, x in zip(weights / weights.sum(), joined)) if joined else np.zeros(2 * hidden)
+
+    def word(w):
+        chars = [p["chars"][c].astype(float) for c in toxicity._characters([w])[0] if c]
+        return np.concatenate([p["words"][p.vocabulary.get(w, 0)].astype(float), read(chars, "c", toxicity.CHAR_HIDDEN)])
+
+    words = [word(w) for w in toxicity._words(text)]
+    return max(read(words[s : s + toxicity.WINDOW], "w", toxicity.HIDDEN) @ p["out"] + p["bias"][0] for s in toxicity.windows(len(words)))
+
+
+def trained(n=240):
+    rng = np.random.default_rng(8)
+    neutral, bad = [f"w{i}" for i in range(60)], ["moron", "scumbag", "loser"]
+    texts = [list(rng.choice(neutral, 20 + i % 90)) for i in range(n)]
+    for i in range(1, n, 2):
+        texts[i][len(texts[i]) // 2 : len(texts[i]) // 2 + 3] = rng.permutation(bad)
+    texts = [" ".join(t) for t in texts]
+    return texts, toxicity.train(texts, (np.arange(n) % 2).astype(np.float32), rounds=3)
+
+
+def test_scores_equal_a_plain_network():
+    texts, p = trained()
+    texts = [*texts[:12], "", "unseen É 😀 words", "x" * 60]
+    got, _ = toxicity.score_texts(texts, p, toxicity._Inputs(p))
+    assert got == pytest.approx([plain_logit(t, p) for t in texts], abs=1e-4)
+
+
+def test_verdicts_do_not_hang_on_where_a_passage_falls():
+    texts, p = trained()
+    for text in texts[1:40:2]:
+        shifted = ("w1 w2 w3 w4 w5 w6 w7 w8 w9 w10 w11 " * 2).split()
+        moved = [" ".join(shifted[:k] + [text]) for k in range(22)]
+        logits, _ = toxicity.score_texts(moved, p, toxicity._Inputs(p))
+        chances = 1 / (1 + np.exp(-logits))
+        assert ((chances >= toxicity.DECISION) == (chances[0] >= toxicity.DECISION)).all()
+
+
 def test_toxicity_of_unseen_texts(docs_of, spark):
     rng = np.random.default_rng(5)
     plain = [f"w{i}" for i in range(60)]
