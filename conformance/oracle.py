@@ -512,6 +512,18 @@ def all_oracles() -> dict[str, str]:
                     where event_type = 'view' group by user_id) v)
         group by cast(first_view as date)
     """
+    in_time = "{b}.user_id = {a}.user_id and {b}.event_type = '{kind}' and {b}.ts > {a}.ts and {b}.ts <= v.ts + interval 2 day".format
+    sql["x_funnel_steps"] = f"""
+        with v as (select user_id, ts from events where event_type = 'view' and user_id is not null),
+        c as (select v.user_id, v.ts as began, c.ts from v join events c on {in_time(a='v', b='c', kind='click')}),
+        p as (select distinct c.user_id from c join events p on p.user_id = c.user_id and p.event_type = 'purchase'
+              and p.ts > c.ts and p.ts <= c.began + interval 2 day),
+        n as (select count(distinct user_id) as viewers, (select count(distinct user_id) from c) as clickers,
+                     (select count(*) from p) as buyers from v)
+        select 0 as position, 'view' as step, viewers as users, viewers / viewers as share_of_first from n
+        union all select 1, 'click', clickers, clickers / viewers from n
+        union all select 2, 'purchase', buyers, buyers / viewers from n
+    """
     sql["x_underperformers"] = f"""
         select store_id, store_format, net_revenue, net_revenue / average as share_of_peer_average
         from (select *, cast(sum(cast(net_revenue as decimal(28,6)))
@@ -522,6 +534,16 @@ def all_oracles() -> dict[str, str]:
               join (select store_id, store_format from stg_stores) using (store_id))
         where net_revenue / average < 1.0
     """
+    sql["x_store_rank"] = f"""
+        select store_id, store_format, net_revenue, percent_rank() over (partition by store_format order by net_revenue) as peer_rank
+        from (select store_id, {_sum('net_amount')} as net_revenue from fct_sales where store_id is not null group by store_id)
+        join (select store_id, store_format from stg_stores) using (store_id)
+        where net_revenue is not null
+    """
+    sql["x_product_rank"] = """
+        select product_id, category, unit_price, percent_rank() over (partition by category order by unit_price) as peer_rank
+        from typed_products where unit_price is not null
+    """
     sql["x_quality_hotspots"] = f"""
         select table_name, count(*) as checks, count(*) filter (not passed) as failed_checks,
                cast(sum(failed_count) as bigint) as failures,

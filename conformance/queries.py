@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from conformance.lake import Lake
 from shelfstrata.contracts import CONTRACTS, MODEL_TESTS, RELATIONSHIPS
-from shelfstrata.functions.columns import surrogate_key
+from shelfstrata.functions.columns import exact_sum, surrogate_key
 from shelfstrata.operators import changes, quarantine as q, validate as v
 from shelfstrata.operators.conform import conform
 from shelfstrata.operators.dedup import keep_latest
@@ -282,11 +282,31 @@ def x_funnel(spark: SparkSession, sf_dir: str) -> DataFrame:
     return insights.purchase_funnel(Lake(spark, sf_dir).table("events"))
 
 
+def x_funnel_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users who viewed, then clicked, then purchased, all within two days."""
+    events = Lake(spark, sf_dir).table("events")
+    return insights.funnel_steps(events, ["view", "click", "purchase"], 2 * 86_400)
+
+
 def x_underperformers(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = Lake(spark, sf_dir)
     return insights.underperformers(lake.sales, lake.staged("stores"))
 
 
+def x_store_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each store's net revenue ranks among the stores of its format."""
+    lake = Lake(spark, sf_dir)
+    sold = lake.sales.filter("store_id is not null").groupBy("store_id").agg(exact_sum(F.col("net_amount")).alias("net_revenue"))
+    stores = lake.keep("revenue_by_store", sold.join(lake.staged("stores").select("store_id", "store_format"), "store_id"))
+    return insights.peer_rank(stores, "store_format", "net_revenue")
+
+
+def x_product_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Where each product's price ranks in its category; very many products share a price."""
+    products = Lake(spark, sf_dir).conformed("products").select("product_id", "category", "unit_price")
+    return insights.peer_rank(products, "category", "unit_price")
+
+
 def x_quality_hotspots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return insights.quality_hotspots(validation_report(spark, sf_dir))
 
@@ -552,7 +572,10 @@ def all_queries() -> dict[str, Query]:
         "x_sales_breakdown": x_sales_breakdown,
         "x_stockout_risk": x_stockout_risk,
         "x_funnel": x_funnel,
+        "x_funnel_steps": x_funnel_steps,
         "x_underperformers": x_underperformers,
+        "x_store_rank": x_store_rank,
+        "x_product_rank": x_product_rank,
         "x_quality_hotspots": x_quality_hotspots,
         "x_upsert": x_upsert,
         "x_partition_overwrite": x_partition_overwrite,

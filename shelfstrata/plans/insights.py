@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, Window, functions as F
 
 from shelfstrata.functions.columns import exact_sum
 from shelfstrata.functions.joins import packed
@@ -76,6 +78,48 @@ def purchase_funnel(events: DataFrame) -> DataFrame:
     )
 
 
+def funnel_steps(events: DataFrame, steps: Sequence[str], within_seconds: int, chunk_seconds: int = 86_400) -> DataFrame:
+    """Per step of a sequence: its position, kind, users who came so far, and their share of those at the first step.
+
+    A user comes to a step with an event of its kind strictly after one that came to the step before, at most ``within_seconds`` after
+    the event that began the sequence. Of all beginnings that lead to an event only the latest matters, so an event carries
+    one time, the greatest carried by an event of the step before and before it. Such maxima merge: they are taken within chunks of a
+    user's time, and over the chunks before, so a user with very many events is spread over as many tasks as there are chunks, and
+    no list of events is built. Events without user, time or kind are left out.
+    """
+    kinds = F.array(*[F.lit(s) for s in steps])
+    rows = events.select(
+        F.col("user_id").alias("_user"),
+        F.unix_micros(F.col("ts").cast("timestamp")).alias("_at"),
+        (F.array_position(kinds, F.col("event_type")) - 1).cast("int").alias("_step"),
+    ).filter("_user is not null and _at is not null and _step >= 0")
+    rows = rows.select(
+        "*",
+        F.floor(F.col("_at") / (chunk_seconds * 1_000_000)).alias("_chunk"),
+        F.when(F.col("_step") == 0, F.col("_at")).alias("_began"),
+    )
+    inside = Window.partitionBy("_user", "_chunk").orderBy("_at").rangeBetween(Window.unboundedPreceding, -1)
+    before = Window.partitionBy("_user").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    for step in range(1, len(steps)):
+        carried = F.when(F.col("_step") == step - 1, F.col("_began"))
+        # A row for each user and chunk.
+        chunks = rows.groupBy("_user", "_chunk").agg(F.max(carried).alias("_latest"))
+        chunks = chunks.select("_user", "_chunk", F.max("_latest").over(before).alias("_earlier"))
+        joined = rows.withColumn("_inside", F.max(carried).over(inside)).join(chunks, ["_user", "_chunk"])
+        latest = F.greatest("_inside", "_earlier")
+        in_time = F.when(F.col("_at") - latest <= within_seconds * 1_000_000, latest)
+        began = F.when(F.col("_step") == step, in_time).otherwise(F.col("_began"))
+        rows = joined.select("_user", "_at", "_step", "_chunk", began.alias("_began"))
+    furthest = rows.filter("_began is not null").groupBy("_user").agg(F.max("_step").alias("_step"))
+    counts = furthest.agg(*[F.count_if(F.col("_step") >= n).alias(f"_{n}") for n in range(len(steps))])
+    share = lambda n: F.when(F.col("_0") > 0, F.col(f"_{n}") / F.col("_0"))
+    found = [
+        F.struct(F.lit(n).alias("position"), F.lit(s).alias("step"), F.col(f"_{n}").alias("users"), share(n).alias("share_of_first"))
+        for n, s in enumerate(steps)
+    ]
+    return counts.select(F.inline(F.array(*found)))
+
+
 def underperformers(sales: DataFrame, stores: DataFrame, below: float = 1.0) -> DataFrame:
     """Stores whose net revenue is under ``below`` times the average of their format.
 
@@ -105,6 +149,43 @@ def underperformers(sales: DataFrame, stores: DataFrame, below: float = 1.0) ->
     )
 
 
+def peer_rank(df: DataFrame, peers: str, value: str, ranges: int = 64) -> DataFrame:
+    """Rows with ``peer_rank``: the share of the other rows of their group with a smaller value, as SQL's ``percent_rank``.
+
+    Groups are ranked in two steps: distinct values with their counts are dealt out by ranges of values, whose bounds are
+    quantiles over all rows, and ranked within a range, behind what the group has in lower ranges. So neither a large group nor a
+    value that very many rows share is sorted in one task. Equal values have the lowest rank of them; a row alone
+    has rank 0; rows without a value are left out, rows without a group are peers of each other.
+    """
+    known = df.filter(F.col(value).isNotNull())
+    shares = [n / ranges for n in range(1, ranges)]
+    bounds = known.agg(F.percentile_approx(value, shares, 100 * ranges)).first()[0]
+    if bounds is None:
+        return known.withColumn("peer_rank", F.lit(0.0))
+    limits = F.array(*[F.lit(b) for b in sorted(set(bounds))])
+    at = F.size(F.filter(limits, lambda b: b < F.col("_value"))).alias("_range")
+    values = known.groupBy(F.col(peers).alias("_peers"), F.col(value).alias("_value")).agg(F.count(F.lit(1)).alias("_rows"))
+    values = values.select("*", at)
+    # A row for each group and range.
+    sizes = values.groupBy("_peers", "_range").agg(F.sum("_rows").alias("_held"))
+    group = Window.partitionBy("_peers")
+    lower = group.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select(
+        F.col("_peers").alias("_of"),
+        F.col("_range").alias("_at"),
+        F.coalesce(F.sum("_held").over(lower), F.lit(0)).alias("_lower"),
+        F.sum("_held").over(group).alias("_all"),
+    )
+    within = Window.partitionBy("_peers", "_range").orderBy("_value").rowsBetween(Window.unboundedPreceding, -1)
+    placed = values.withColumn("_smaller", F.coalesce(F.sum("_rows").over(within), F.lit(0)))
+    same_range = F.col("_peers").eqNullSafe(F.col("_of")) & (F.col("_range") == F.col("_at"))
+    below = F.col("_lower") + F.col("_smaller")
+    rank = F.when(F.col("_all") > 1, below / (F.col("_all") - 1)).otherwise(F.lit(0.0))
+    ranked = placed.join(sizes, same_range).select("_peers", "_value", rank.alias("peer_rank"))
+    same_value = F.col(peers).eqNullSafe(F.col("_peers")) & (F.col(value) == F.col("_value"))
+    return known.join(ranked, same_value).drop("_peers", "_value")
+
+
 def quality_hotspots(report: DataFrame) -> DataFrame:
     """Per table: checks, failed checks, failing rows over all checks, and the worst check."""
     check = F.concat_ws(":", "rule_name", "column_name")
