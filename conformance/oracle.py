@@ -258,6 +258,16 @@ def _quarantine_summary(entities=tuple(CONTRACTS)) -> str:
     return "\nunion all ".join(lines)
 
 
+def _offending(entities) -> str:
+    """Values that broke a rule, a row each."""
+    return "\nunion all ".join(
+        f"select {_text(e)} as table_name, {_text(rule.name)} as rule_name, {_text(rule.column)} as column_name, "
+        f"{f'cast({rule.column} as varchar)' if rule.column in _columns(e) else 'null'} as value from ({_failed(e, rule)})"
+        for e in entities
+        for rule in CONTRACTS[e].rules
+    )
+
+
 def _relationships() -> str:
     lines = []
     for r in RELATIONSHIPS:
@@ -552,6 +562,28 @@ def all_oracles() -> dict[str, str]:
         from ({_report('silver')})
         group by table_name
     """
+    mended = f"select * from ({_offending(['orders'])}) where column_name <> 'currency' or rule_name <> 'not_null'"
+    sql["x_offending_values"] = f"""
+        select table_name, rule_name, column_name, value, row_count, row_count / check_rows as share
+        from (select *, sum(row_count) over (partition by table_name, rule_name, column_name) as check_rows
+              from (select table_name, rule_name, column_name, value, count(*) as row_count
+                    from ({_offending(CONTRACTS)} union all {mended}) group by all))
+        where row_count >= 0.01e0 * check_rows
+    """
+    weekly = f"""
+        count(distinct order_id) as total_orders, count(distinct customer_id) as unique_customers,
+        count(distinct product_id) as unique_products_sold, count(*) as lines,
+        cast(sum(quantity) as bigint) as total_units_sold, {_sum('net_amount')} as net_revenue
+    """
+    sql["x_kpi_rollup"] = f"""
+        select cast(date_trunc('week', order_date) as date) as period_start, channel, {weekly} from fct_sales group by 1, 2
+        union all
+        select cast(date_trunc('week', order_date) as date), 'all', {weekly} from fct_sales group by 1
+    """
+    for dim in ("dim_customer", "dim_product", "dim_stores"):
+        sql[f"saved_{dim}"] = f"select * from {dim}"
+    for entity in ("customers", "products", "stores"):
+        sql[f"viewed_stg_{entity}"] = f"select * from stg_{entity}"
     sql["x_upsert"] = """
         select * replace (case when status = 'returned' then 'refunded' else customer_note end
                           as customer_note)

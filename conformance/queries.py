@@ -4,22 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from conformance.lake import Lake
 from shelfstrata.contracts import CONTRACTS, MODEL_TESTS, RELATIONSHIPS
 from shelfstrata.functions.columns import exact_sum, surrogate_key
-from shelfstrata.operators import changes, quarantine as q, validate as v
+from shelfstrata.operators import changes, offenders, quarantine as q, validate as v
 from shelfstrata.operators.conform import conform
 from shelfstrata.operators.dedup import keep_latest
 from shelfstrata.operators.modeltests import model_test_report
 from shelfstrata.operators.rules import Contract, Rule
-from shelfstrata.plans import checks, incremental, insights, intermediate, marts
+from shelfstrata.plans import checks, incremental, insights, intermediate, marts, rollup
 from shelfstrata.plans.bronze import SOURCE_FILES, ingest_all
 from shelfstrata.schemas import ENTITIES, SILVER_METADATA
 from shelfstrata.sources import landing, tables
-from shelfstrata.sources.quarantine import read_quarantine, write_quarantine
+from shelfstrata.sources.quarantine import read_quarantine, read_runs, write_quarantine
 from shelfstrata.sources.scratch import scratch_folder
 from shelfstrata.streaming import events as streams, keyed
 
@@ -311,6 +312,30 @@ def x_quality_hotspots(spark: SparkSession, sf_dir: str) -> DataFrame:
     return insights.quality_hotspots(validation_report(spark, sf_dir))
 
 
+def x_offending_values(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Values with at least 1 % of the failing rows of a check, over all tables and a second run of orders with currencies mended."""
+    lake, base = Lake(spark, sf_dir), scratch_folder(spark, "offenders")
+    runs = [("1", c.table, lake.conformed(c.table)) for c in CONTRACTS.values()]
+    mended = lake.conformed("orders").withColumn("currency", F.coalesce("currency", F.lit("GBP")))
+    for run_id, table, df in [*runs, ("2", "orders", mended)]:
+        write_quarantine(q.quarantine(df, CONTRACTS[table]), base, table, run_id)
+        failing = offenders.offending(read_quarantine(spark, base, table, run_id))
+        offenders.value_sketch(failing).write.mode("append").parquet(f"{base}/sketches")
+    sketch = offenders.merged(spark.read.parquet(f"{base}/sketches"))
+    values = reduce(DataFrame.unionByName, [offenders.offending(read_runs(spark, base, t).drop("run_id")) for t in CONTRACTS])
+    return offenders.frequent_values(values, sketch).drop("estimate")
+
+
+def x_kpi_rollup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weekly figures from daily states; days of the second delivery replace those the first one had in part."""
+    lake, base = Lake(spark, sf_dir), scratch_folder(spark, "rollup")
+    sales = lake.stored("fct_sales")
+    rollup.update(spark, sales.filter("order_date < '1996-06-12' and not (order_date >= '1996-06-03' and order_id like '%7')"), base)
+    rollup.update(spark, sales.filter("order_date >= '1996-06-03'"), base)
+    every = rollup.roll_up(spark, base, by=()).select("*", F.lit("all").alias("channel"))
+    return rollup.roll_up(spark, base).unionByName(every)
+
+
 def x_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Silver orders, changed and added to by a later delivery of all returned orders."""
     orders = Lake(spark, sf_dir).silver("orders").drop(*SILVER_METADATA)
@@ -357,6 +382,29 @@ def stored_models(spark: SparkSession, sf_dir: str) -> DataFrame:
     ))
 
 
+def _saved(name: str) -> Query:
+    """Rows of a dimension as SQL finds them in the catalog table it was saved as."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        lake, base = Lake(spark, sf_dir), scratch_folder(spark, "saved")
+        schema = f"saved_{base.rsplit('-', 1)[-1].replace('/', '_')}"
+        spark.sql(f"CREATE SCHEMA IF NOT EXISTS {schema} LOCATION '{base}/_schema'")
+        tables.save_models({name: lake.model(name)}, schema, base)
+        return spark.sql(f"select * from {schema}.{name}")
+
+    return run
+
+
+def _viewed(entity: str) -> Query:
+    """Rows of a staging model as SQL finds them in its view."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        tables.create_views({f"viewed_{entity}": Lake(spark, sf_dir).staged(entity)})
+        return spark.sql(f"select * from viewed_{entity}")
+
+    return run
+
+
 def x_split_clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The clean side of orders; the other side is what the quarantine queries show."""
     return q.split_clean(Lake(spark, sf_dir).conformed("orders"), CONTRACTS["orders"])[0]
@@ -577,6 +625,8 @@ def all_queries() -> dict[str, Query]:
         "x_store_rank": x_store_rank,
         "x_product_rank": x_product_rank,
         "x_quality_hotspots": x_quality_hotspots,
+        "x_offending_values": x_offending_values,
+        "x_kpi_rollup": x_kpi_rollup,
         "x_upsert": x_upsert,
         "x_partition_overwrite": x_partition_overwrite,
         "x_schema_drift": x_schema_drift,
@@ -595,4 +645,6 @@ def all_queries() -> dict[str, Query]:
         "x_stream_unique": x_stream_unique,
         "x_stream_orphans": x_stream_orphans,
     }
+    queries |= {f"saved_{d}": _saved(d) for d in ("dim_customer", "dim_product", "dim_stores")}
+    queries |= {f"viewed_stg_{e}": _viewed(e) for e in ("customers", "products", "stores")}
     return queries

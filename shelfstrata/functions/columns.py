@@ -55,20 +55,32 @@ def exact(column: Column) -> Column:
     return column.try_cast(EXACT)
 
 
-def exact_sum(column: Column) -> Column:
-    """Sum of a double amount that does not depend on the order of the rows.
+def exact_parts(column: Column) -> tuple[Column, Column]:
+    """A double amount as decimal, or else as the double it is; the other one is NULL.
 
-    Adds in decimal, returns double; NULL when there is no value. Amounts that decimal does not
-    represent (NaN, infinite, huge, or with digits beyond its places) are added as doubles on the side, so that
-    none is left out or rounded.
+    Decimal does not represent NaN, infinite and huge amounts, and those with digits beyond its places.
     """
     in_decimal = exact(column)
     # A difference this small is the noise of binary fractions such as 0.1.
     noise = F.abs(column) * F.lit(1e-9)
     fits = F.coalesce(F.abs(in_decimal.cast("double") - column) <= noise, F.lit(False))
-    decimals = F.sum(F.when(fits, in_decimal)).cast("double")
-    others = F.sum(F.when(~fits, column))
-    return F.coalesce(decimals + others, decimals, others)
+    return F.when(fits, in_decimal), F.when(~fits, column)
+
+
+def exact_total(decimals: Column, others: Column) -> Column:
+    """Sums of both parts as one double, NULL when there is no value."""
+    in_double = decimals.cast("double")
+    return F.coalesce(in_double + others, in_double, others)
+
+
+def exact_sum(column: Column) -> Column:
+    """Sum of a double amount; it does not depend on the order of the rows as long as decimal represents them.
+
+    Adds in decimal, returns double; NULL when there is no value. Amounts that decimal does not represent are added
+    as doubles on the side, so that none is left out or rounded; the sum of these depends on their order.
+    """
+    decimals, others = exact_parts(column)
+    return exact_total(F.sum(decimals), F.sum(others))
 
 
 def surrogate_key(*columns: str) -> Column:

@@ -42,3 +42,9 @@ def read_quarantine(spark: SparkSession, base: str, table: str, run_id: str) ->
             raise
     silver = stamp_silver(spark.createDataFrame([], ENTITIES[table].schema))
     return tag(silver, table, "", "", "")
+
+
+def read_runs(spark: SparkSession, base: str, table: str) -> DataFrame:
+    """The failing rows of a table over all runs that left any, with ``run_id``."""
+    runs = spark.read.option("mergeSchema", True).parquet(f"{base.rstrip('/')}/silver/{table}")
+    return runs.withColumn("run_id", F.col("run_id").cast("string"))
