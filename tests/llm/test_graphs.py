@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 
 from shelfstrata.llm.components import components
-from shelfstrata.llm.embedding_dedup import int8_products, near_duplicate_vectors, quantised, similar_pairs
+from shelfstrata.llm.embedding_dedup import _cells_of, _tiles, cells, far_apart, int8_products, near_duplicate_vectors, quantised, similar_pairs
 
 
 def groups(nodes, links):
@@ -91,8 +91,53 @@ def test_vectors_of_all_kinds(spark, monkeypatch):
     rows += [(None, rows[3][1], 0), (309, [-0.0, 1.0], 5), (310, [0.0, 1.0], 5), (311, [1e-30, 1e30], 5)]
     table = spark.createDataFrame([(*r, "x") for r in rows], "vec_id long, embedding array<double>, label int, links string")
     want = brute(rows)
-    for block in (1024, 16):
+    for block, per_pivot, part in ((1024, 512, 4096), (16, 512, 4096), (16, 4, 20), (4, 2, 7)):
         monkeypatch.setattr("shelfstrata.llm.embedding_dedup.BLOCK", block)
+        monkeypatch.setattr("shelfstrata.llm.embedding_dedup.PER_PIVOT", per_pivot)
+        monkeypatch.setattr("shelfstrata.llm.embedding_dedup.PART", part)
         got = near_duplicate_vectors(table).collect()
         assert sorted((str(r[0]), *r[1:]) for r in got) == want
     assert near_duplicate_vectors(table.where("false")).count() == 0
+
+
+def test_a_near_vector_is_at_home_or_a_guest():
+    rng = np.random.default_rng(9)
+    for dims in (2, 3, 16, 64):
+        base = rng.standard_normal((300, dims))
+        base /= np.linalg.norm(base, axis=1, keepdims=True)
+        # Near pairs of about the threshold, equal vectors, and lengths that differ.
+        near = base + rng.standard_normal((300, dims)) * 0.19 / np.sqrt(dims)
+        v = np.concatenate([base, near, base[:20] * 7.0])
+        pivots = np.concatenate([v[rng.choice(len(v), 24, replace=False)], base[:2], base[:2] * 3.0])
+        home, guest = cells(v, pivots)
+        pairs = list(zip(*similar_pairs(v, v)))
+        assert len(pairs) > len(v)
+        for x, y in pairs:
+            assert home[x] == home[y] or (guest[x, home[y]] if home[x] < home[y] else guest[y, home[x]])
+
+
+def test_vectors_that_do_not_compare_are_guests_of_all_later_cells():
+    with np.errstate(all="ignore"):
+        home, guest = cells(np.array([[np.inf, 0.0], [1.0, 0.0]]), np.array([[1.0, 0.0], [0.0, 1.0]]))
+    assert guest[0].tolist() == [False, True] and guest[1].tolist() == [False, False] and home[1] == 0
+
+
+def test_pivots_are_far_apart():
+    rng = np.random.default_rng(5)
+    centres = rng.standard_normal((20, 16)) * 10
+    v = centres[rng.integers(0, 20, 400)] + rng.standard_normal((400, 16)) * 0.1
+    chosen = far_apart(v, 20)
+    nearest = ((v[chosen][:, None] - centres) ** 2).sum(axis=2).argmin(axis=1)
+    assert sorted(nearest) == list(range(20))
+    assert far_apart(v[:3], 20).tolist() != [] and len(far_apart(np.array([[1e308, 1e308]]), 2)) == 0
+
+
+def test_shuffled_rows_grow_in_proportion_on_clustered_vectors(spark):
+    rng, share = np.random.default_rng(3), []
+    for number in (3000, 30000):
+        centres = rng.standard_normal((number // 1000, 32))
+        v = centres[np.arange(number) % len(centres)] + rng.standard_normal((number, 32)) * 0.05
+        rows = [(1, x.tolist(), i, 1, 32) for i, x in enumerate(v)]
+        classes = spark.createDataFrame(rows, "label long, embedding array<double>, rep long, copies long, dims int")
+        share.append(_tiles(_cells_of(classes)).count() / number)
+    assert share[1] < 1.2 * share[0] and share[1] < 3
