@@ -1,6 +1,8 @@
 """The trained operators: held-out accuracy, gradients, odd rows."""
 
+import math
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -8,6 +10,7 @@ import pytest
 from tests.llm.conftest import SF
 
 from shelfstrata.llm import gru, html_extraction, language, toxicity
+from shelfstrata.llm.common import held_out
 from shelfstrata.llm.html_extraction import extract, main_text, train, viterbi
 from shelfstrata.llm.page_blocks import blocks_of, features
 from shelfstrata.llm.page_samples import labelled_pages
@@ -45,6 +48,45 @@ def test_language_of_odd_rows(docs_of, spark):
     assert {r.doc_id for r in kept.collect()} == set(range(18)) and kept.columns == odd.columns
 
 
+def plain_grams(text):
+    """Hashed n-grams of a text with their counts, a character and an n-gram at a time."""
+    codes = []
+    for c in (text or "").lower():
+        code = ord(c) if c.isalpha() else 0
+        if code or not codes or codes[-1]:
+            codes.append(code)
+    if not any(codes):
+        return Counter()
+    codes, counts = [0, *codes, 0], Counter()
+    for n in (1, 2, 3):
+        for at in range(len(codes) - n + 1):
+            h = n
+            for code, factor in zip(codes[at : at + n], (0x9E3779B1, 0x85EBCA6B, 0xC2B2AE35)):
+                h = ((h ^ code) * factor) % 2**32
+                h ^= h >> 15
+            counts[h % 2**13] += 1
+    return counts
+
+
+def test_language_equals_plain_nearest_centroids(spark):
+    docs = spark.read.parquet(f"{MORE}/documents.parquet")
+    learnt = docs.where(~held_out(docs.doc_id))
+    model = language.fit(learnt)
+    seen = [plain_grams(r.text) for r in learnt.where("text is not null and lang is not null").collect()]
+    seen = [set(grams) for grams in seen if grams]
+    frequencies = Counter(gram for grams in seen for gram in grams)
+    idf = [math.log((1 + len(seen)) / (1 + frequencies[g])) + 1 for g in range(2**13)]
+    assert np.allclose(model.idf, idf)
+    assert np.allclose(np.linalg.norm(model.centroids, axis=1), 1.0, atol=1e-5) and set(Counter(model.languages).values()) <= {1, 2, 3, 4}
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    for r in language.identify(docs, model).collect()[::7]:
+        weights = {g: (1 + math.log(n)) * idf[g] for g, n in plain_grams(texts[r.doc_id]).items()}
+        length = math.sqrt(sum(w * w for w in weights.values()))
+        cosines = [sum(w * float(c[g]) for g, w in weights.items()) / length for c in model.centroids]
+        assert abs(max(cosines) - r.score) < 1e-6
+        assert r.lang_pred in {name for name, cosine in zip(model.languages, cosines) if cosine > max(cosines) - 1e-6}
+
+
 # --- toxicity ------------------------------------------------------------------------------------------------
 
 
