@@ -69,9 +69,12 @@ def make_texts(rng):
     return texts
 
 
-@pytest.mark.parametrize("large", [suffix_dedup.LARGE, 3])
-def test_equals_brute_force(docs_of, monkeypatch, large):
+@pytest.mark.parametrize("large, hot, bits", [(suffix_dedup.LARGE, suffix_dedup.HOT, 128), (3, 2, 128), (1, 1, 3), (1, 1, 0)])
+def test_equals_brute_force(docs_of, monkeypatch, large, hot, bits):
+    """Also where nearly every anchor is a large one, and hashes of few bits leave all to the bytes."""
     monkeypatch.setattr(suffix_dedup, "LARGE", large)
+    monkeypatch.setattr(suffix_dedup, "HOT", hot)
+    monkeypatch.setattr(suffix_dedup, "SPREAD_BITS", bits)
     texts = make_texts(random.Random(large))
     rows = [(i, t) for i, t in enumerate(texts)] + [(1, texts[0]), (None, texts[9]), (None, None)]
     want = sorted(((-1 if i is None else i), *b) for (i, _), b in zip(rows, brute([t for _, t in rows])))
@@ -80,6 +83,21 @@ def test_equals_brute_force(docs_of, monkeypatch, large):
     assert sorted((-1 if r[0] is None else r[0], *r[1:]) for r in got) == want
 
 
+def test_many_contexts_of_one_anchor_and_many_copies(spark):
+    """A passage in 5,000 texts that differ around it, and one text 100,000 times."""
+    rng = random.Random(5)
+    fresh = lambda n: "".join(rng.choice("abcdefghijklmnop ") for _ in range(n))
+    passage, copy = fresh(403), fresh(420)
+    varied = [(i, fresh(80) + passage + fresh(80), "x") for i in range(5_000)]
+    docs = spark.createDataFrame([*varied, (5_000, fresh(900), "x")], "doc_id long, text string, words string")
+    docs = docs.unionByName(spark.range(6_000, 106_000).selectExpr("id as doc_id", f"'{copy}' as text", "'x' as words"))
+    got = {r[0]: tuple(r)[1:] for r in summed(docs)}
+    want = brute([t for _, t, _ in varied])
+    assert all(got[i] == w and w[1] >= 403 for i, w in enumerate(want))
+    assert got[5_000][1:3] == (0, 0)
+    assert len(got) == 105_001 and all(got[i] == (420, 420, 1, hashlib.sha256(b"").hexdigest()) for i in range(6_000, 106_000))
+
+
 def test_long_document_in_parts(docs_of):
     rng = random.Random(9)
     fresh = lambda n: "".join(rng.choice("abcdefghijklmnop ") for _ in range(n))
