@@ -36,7 +36,7 @@ def test_stages_against_plain_python(spark, tmp_path):
         elif name == "ngram_join":
             want = {i for i, (group, _) in brute({i: r.text for i, r in before.items()}).items() if i == group}
         elif name == "decontamination":
-            want = {int(r[0]) for r in contaminated([(i, r.text) for i, r in before.items()], items) if not r[-1]}
+            want = {int(r[0]) for r in contaminated([(i, r.text) for i, r in before.items()], items) if not r[5]}
         else:
             want = set(before)
         assert set(rows) == want
