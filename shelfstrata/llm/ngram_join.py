@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfstrata.llm.common import attach, checkpoint, ship_code, table
+from shelfstrata.llm.common import checkpoint, ship_code, table
 from shelfstrata.llm.components import components
 from shelfstrata.llm.runs import grouped, whole_runs
 
@@ -335,14 +335,16 @@ def keep_one_of_each(docs: DataFrame) -> DataFrame:
     It is the one with the smallest hash of its text, then of its other columns. Rows whose id is NULL take no
     part and stay; texts without words stay, once for each id and text.
     """
-    kept = _judged(docs).where("kept and first").select(F.struct("doc_id", "t").alias("_op2_key")).distinct().withColumn("_op2_kept", F.lit(True))
-    keyed = docs.withColumn("_op2_key", F.struct(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("t")))
-    joined = attach(keyed, "_op2_key", kept, ["_op2_kept"])
-    columns = [F.col(f"row.`{c}`") for c in docs.columns]
-    others = [F.col(f"row.`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
+    kept = _judged(docs).where("kept and first").select(F.col("doc_id").alias("_id"), F.col("t").alias("_t")).distinct()
+    key = F.col("doc_id").cast("long").alias("_id"), F.xxhash64("text").alias("_t")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    others = [F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")]
     order = F.xxhash64(F.to_json(F.struct(*others))) if others else F.lit(0)
-    first = joined.where("_op2_kept").groupBy("row._op2_key").agg(F.min_by("row", order).alias("row"))
-    return first.select(*columns).unionByName(joined.where("row.doc_id is null").select(*columns))
+    # Repeated rows are merged by the key that the join needs, on the map side first: texts are shuffled once, and a
+    # document repeated very often is a row per map task.
+    keyed = docs.where("doc_id is not null").select(*key, row.alias("row"), order.alias("_order"))
+    first = keyed.groupBy("_id", "_t").agg(F.min_by("row", "_order").alias("row")).join(kept, ["_id", "_t"], "left_semi")
+    return first.select("row.*").unionByName(docs.where("doc_id is null"))
 
 
 def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -102,3 +102,22 @@ def test_repeated_rows_with_a_near_duplicate(docs_of):
     rows = [(2, x), (3, x2)] * 3 + [(2, x.upper()), (4, x2), (4, x2)]
     got = {(r.doc_id, r.class_id, r.n_links, r.copy_id, r.kept) for r in near_duplicates(docs_of(rows)).collect()}
     assert got == {(2, 2, 2, 2, True), (3, 2, 2, 3, False), (4, 2, 2, 3, False)}
+
+
+def test_texts_are_shuffled_once_to_keep_one_of_each(docs_of, spark, tmp_path, capsys):
+    """Reading up from each scan of the texts, there is one exchange, or none for rows without an id."""
+    x, y, x2, y2 = _other_texts()
+    docs_of([(1, x), (2, x2), (3, y), (3, y), (None, y2)]).write.parquet(f"{tmp_path}/docs")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        keep_one_of_each(spark.read.parquet(f"{tmp_path}/docs")).explain()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    above, found = [], []
+    for line in capsys.readouterr().out.splitlines():
+        depth = len(line) - len(line.lstrip(" :+-*()0123456789"))
+        above = [(d, text) for d, text in above if d < depth]
+        if "FileScan" in line and "text" in line:
+            found.append(sum("Exchange" in text for _, text in above))
+        above.append((depth, line))
+    assert sorted(found) == [0, 1]
