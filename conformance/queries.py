@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter, defaultdict
 from collections.abc import Callable
 from datetime import datetime
 from functools import reduce
@@ -14,7 +15,7 @@ from shelfstrata.functions.columns import exact_sum, surrogate_key
 from shelfstrata.operators import changes, offenders, quarantine as q, validate as v
 from shelfstrata.operators.conform import conform
 from shelfstrata.operators.dedup import keep_latest
-from shelfstrata.operators.modeltests import model_test_report
+from shelfstrata.operators.modeltests import columns_read, model_test_report
 from shelfstrata.operators.rules import Contract, Rule
 from shelfstrata.plans import checks, incremental, insights, intermediate, marts, rollup
 from shelfstrata.plans.bronze import SOURCE_FILES, ingest_all
@@ -100,10 +101,13 @@ def _quarantine(entity: str) -> Query:
 def _model_tests(name: str | None) -> Query:
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         tests = [t for t in MODEL_TESTS if name is None or t.name == name]
-        parents = {t.argument[0] for t in tests if t.name == "relationships"}
-        lake = Lake(spark, sf_dir)
-        # Models are tested as they are stored: each is built once, and the tests read its columns.
-        models = {name: lake.stored(name) for name in sorted({t.model for t in tests} | parents)}
+        read, passes = defaultdict(set), Counter()
+        for model, column, several in columns_read(tests):
+            read[model].add(column)
+            passes[model] += several
+        # Row tests share a pass; every other test, and every test that a model is the parent of, takes one more.
+        passes.update({t.model for t in tests if t.is_row_test})
+        models = Lake(spark, sf_dir).models(read, passes)
         return model_test_report(models, tests)
 
     return run

@@ -48,12 +48,23 @@ class ModelTest:
     def unit(self) -> str:
         return _UNITS[self.name]
 
+    @property
+    def is_row_test(self) -> bool:
+        """Whether it can be judged row by row, in one pass with others."""
+        return self.unit == "rows" and self.name != RELATIONSHIPS
+
     @property
     def rule(self) -> Rule:
         name = MIN_VALUE if self.name == ACCEPTED_RANGE else self.name
         return Rule(self.column, name, self.argument)
 
 
+def columns_read(tests: Sequence[ModelTest]) -> list[tuple[str, str, bool]]:
+    """Model and column of each test and of each parent, and whether it takes a pass of its own."""
+    own = [(t.model, t.column, not t.is_row_test) for t in tests]
+    return own + [(*t.argument, True) for t in tests if t.name == RELATIONSHIPS]
+
+
 def model_test_report(models: Mapping[str, DataFrame], tests: Sequence[ModelTest]) -> DataFrame:
     """One row per test: model, column, test, unit, failures, passed.
 
@@ -64,7 +75,7 @@ def model_test_report(models: Mapping[str, DataFrame], tests: Sequence[ModelTest
     for model in dict.fromkeys(test.model for test in tests):
         df = models[model]
         mine = [(i, t) for i, t in numbered if t.model == model]
-        row_tests = [(i, t) for i, t in mine if t.unit == "rows" and t.name != RELATIONSHIPS]
+        row_tests = [(i, t) for i, t in mine if t.is_row_test]
         if row_tests:
             counted = df.agg(
                 *[F.count_if(t.rule.fails(df)).alias(f"failures_{i}") for i, t in row_tests]
@@ -91,12 +102,21 @@ def _failing_units(models: Mapping[str, DataFrame], test: ModelTest) -> DataFram
         return counted.filter("is_orphan").select(F.col("rows").alias("failures"))
     column = named(test.column)
     if test.name == UNIQUE:
-        groups = df.filter(column.isNotNull()).groupBy(column).count().filter("count > 1")
+        groups = _duplicated(df.filter(column.isNotNull()).select(column.alias("key")))
     else:
         groups = df.filter(test.rule.fails(df)).select(column).distinct()
     return groups.select(F.lit(1).alias("failures"))
 
 
+def _duplicated(keys: DataFrame) -> DataFrame:
+    """The keys that occur more than once. Only hashes are shuffled for all rows; keys are told apart where a hash occurs
+    more than once, which it also does where different keys share it."""
+    hashed = keys.select("key", F.xxhash64("key").alias("hash"))
+    repeated = hashed.groupBy("hash").count().filter("count > 1").select("hash")
+    found = hashed.join(repeated, "hash", "left_semi")
+    return found.groupBy("key").count().filter("count > 1")
+
+
 def _result(position: int, test: ModelTest, failures: str) -> str:
     return (
         f"struct({position} as _position, {sql_text(test.model)} as model_name, "

@@ -4,6 +4,7 @@ import json
 import os
 import subprocess
 import sys
+from collections import Counter
 from pathlib import Path
 
 import pytest
@@ -126,3 +127,13 @@ def test_models_have_the_rows_of_their_tables_and_orphans_exist(spark):
     assert len(found) == 6 and all(r.failed_count > 0 for r in found)
     values = all_queries()["test_accepted_values"](spark, SF_DIR).filter("failures > 0")
     assert {"stg_customers", "stg_stores", "stg_products"} <= {r.model_name for r in values.collect()}
+
+
+def test_tested_models_are_built_once_from_each_other(spark, monkeypatch):
+    """Silver tables behind several models are deduplicated once: facts and marts are made of the stored models."""
+    from conformance import lake
+
+    built, to_silver = Counter(), lake.to_silver
+    monkeypatch.setattr(lake, "to_silver", lambda raw, entity: (built.update([entity]), to_silver(raw, entity))[1])
+    all_queries()["model_test_report"](spark, SF_DIR)
+    assert max(built.values()) == 1

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 
 from shelfstrata.contracts import CONTRACTS, MODEL_TESTS, RELATIONSHIPS
 from shelfstrata.operators import validate as v
@@ -298,3 +299,13 @@ def test_model_tests_count_keys_values_and_rows(spark):
     assert [r.unit for r in report] == ["keys", "values", "rows", "rows", "rows"]
     with pytest.raises(ValueError):
         ModelTest("m", "k", "median")
+
+
+def test_duplicated_keys_are_told_apart_where_hashes_are_equal(spark, monkeypatch, capsys):
+    from shelfstrata.operators import modeltests
+
+    keys = spark.createDataFrame([("a",), ("b",), ("b",), ("c",), ("c",), ("c",)], "key string")
+    modeltests._duplicated(keys).explain()
+    assert "Exchange hashpartitioning(hash" in capsys.readouterr().out
+    monkeypatch.setattr(modeltests.F, "xxhash64", lambda *columns: F.lit(7))
+    assert sorted(r.key for r in modeltests._duplicated(keys).collect()) == ["b", "c"]
