@@ -27,7 +27,8 @@ def interval_join(
     as many partitions as it has months. Months before the first and after the last day of the points are left
     out, so that an interval without a real end costs no more than the points span. Those two days are
     read from ``days``, a table with all days of the points that is cheaper to read than they are, or else
-    from the points. Columns of the two sides must have distinct names but for ``on``.
+    from the points. Points before the first start and after the last end are left out as soon as their day is known.
+    Columns of the two sides must have distinct names but for ``on``.
 
     Which side is broadcast, if any, is left to Spark, which knows their sizes when it runs.
     """
@@ -37,7 +38,10 @@ def interval_join(
     both = F.struct(F.min("_month").alias("first"), F.max("_month").alias("last"))
     bounds = months.agg(both.alias("bounds")).scalar()
     first, last = bounds.getField("first"), bounds.getField("last")
-    bounded = intervals.filter(F.col(start) <= F.col(end)).select(
+    real = intervals.filter(F.col(start) <= F.col(end))
+    covered = real.agg(F.struct(F.min(start).alias("first"), F.max(end).alias("last")).alias("covered")).scalar()
+    points = points.filter(F.col(day).between(covered.getField("first"), covered.getField("last")))
+    bounded = real.select(
         "*",
         F.greatest(month_bucket(F.col(start)), first).alias("_from"),
         # Without points there is no last month, and no interval is needed.

@@ -325,3 +325,14 @@ def test_funnel_needs_the_purchase_after_the_view(spark):
     )
     row = insights.purchase_funnel(events).first()
     assert (row.viewers, row.buyers) == (3, 2)
+
+
+def test_points_outside_all_intervals_are_left_out_before_the_join(spark, tmp_path, capsys):
+    points = spark.sql("select 'p' as k, date '2020-01-01' + cast(id as int) as day from range(1000)")
+    points.write.parquet(f"{tmp_path}/points")
+    spans = spark.sql("select 'p' as k, date '2021-03-01' as s, date '2021-03-10' as e union all select 'p', date '2019-01-02', date '2019-01-01'")
+    joined = interval_join(spark.read.parquet(f"{tmp_path}/points"), spans, on="k", day="day", start="s", end="e")
+    assert joined.count() == 10
+    joined.explain()
+    scan = next(line for line in capsys.readouterr().out.splitlines() if "FileScan" in line and "day" in line)
+    assert "day" in scan and ">=" in scan.split("DataFilters")[1] and "<=" in scan.split("DataFilters")[1]
