@@ -111,3 +111,12 @@ def test_bitmaps_over_several_buckets(spark, tmp_path):
     assert (row.total_orders, row.unique_customers, row.unique_products_sold) == (70_000, 40_000, 1)
     with pytest.raises(Exception, match="NO_SUCH|PATH_NOT_FOUND"):
         rollup.roll_up(spark, f"{tmp_path}/none").collect()
+
+
+def test_only_what_the_states_are_made_of_is_stored(spark, monkeypatch):
+    from conformance import lake, queries
+
+    written, write = [], lake.write_table
+    monkeypatch.setattr(lake, "write_table", lambda df, *given, **options: (written.append(df.columns), write(df, *given, **options))[1])
+    queries.x_kpi_rollup(spark, "/root/testdata/sf0.001")
+    assert [len(columns) for columns in written] == [7]
