@@ -6,9 +6,11 @@ import string
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from tests.llm.conftest import SF
 
+from shelfstrata.llm import decontamination
 from shelfstrata.llm.decontamination import contamination, drop_contaminated, proximity_matches
 from shelfstrata.llm.mixing import mix, taken_per_document
 from shelfstrata.llm.secrets import RULES, Rule, mask_secrets, secret_digest, spans, trigram_query
@@ -214,3 +216,10 @@ def test_leaks_in_the_test_data(spark):
     got = sorted((str(r[0]), *r[1:]) for r in contamination(docs, items).collect())
     want = contaminated([(r.doc_id, r.text) for r in docs.collect()], [(r.item_id, r.text) for r in items.collect()])
     assert got == want and any(r[5] for r in want) and any(r[6] for r in want)
+
+
+def test_words_of_all_code_points(spark):
+    odd = [chr(c) for c in [*range(0x180), 0x2028, 0x3042, 0xD7FF, 0xE000, 0xFFFD, 0xFFFF, 0x10000, 0x10FFFF]]
+    texts = [*odd, "".join(odd), *[f"a{c}B" for c in odd]]
+    found = spark.createDataFrame([(t,) for t in texts], "text string").select(decontamination.words(F.col("text")).alias("words"))
+    assert [r.words for r in found.collect()] == [words_of(t) for t in texts]
