@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections import Counter, defaultdict
 from collections.abc import Callable
 from datetime import datetime
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -21,7 +20,7 @@ from shelfstrata.plans import checks, incremental, insights, intermediate, marts
 from shelfstrata.plans.bronze import SOURCE_FILES, ingest_all
 from shelfstrata.schemas import ENTITIES, SILVER_METADATA
 from shelfstrata.sources import landing, tables
-from shelfstrata.sources.quarantine import read_quarantine, read_runs, write_quarantine
+from shelfstrata.sources.quarantine import read_quarantine, write_quarantine
 from shelfstrata.sources.scratch import scratch_folder
 from shelfstrata.streaming import events as streams, keyed
 
@@ -319,14 +318,15 @@ def x_quality_hotspots(spark: SparkSession, sf_dir: str) -> DataFrame:
 def x_offending_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Values with at least 1 % of the failing rows of a check, over all tables and a second run of orders with currencies mended."""
     lake, base = Lake(spark, sf_dir), scratch_folder(spark, "offenders")
-    runs = [("1", c.table, lake.conformed(c.table)) for c in CONTRACTS.values()]
+    runs = [(c.table, lake.conformed(c.table)) for c in CONTRACTS.values()]
     mended = lake.conformed("orders").withColumn("currency", F.coalesce("currency", F.lit("GBP")))
-    for run_id, table, df in [*runs, ("2", "orders", mended)]:
-        write_quarantine(q.quarantine(df, CONTRACTS[table]), base, table, run_id)
-        failing = offenders.offending(read_quarantine(spark, base, table, run_id))
-        offenders.value_sketch(failing).write.mode("append").parquet(f"{base}/sketches")
+    for number, (table, df) in enumerate([*runs, ("orders", mended)]):
+        # The sketch and the exact counts both read the values of a run.
+        path = f"{base}/values/{number}"
+        tables.write_table(offenders.failing_values(df, CONTRACTS[table]), path, options={"compression": "zstd"})
+        offenders.value_sketch(spark.read.parquet(path)).write.mode("append").parquet(f"{base}/sketches")
     sketch = offenders.merged(spark.read.parquet(f"{base}/sketches"))
-    values = reduce(DataFrame.unionByName, [offenders.offending(read_runs(spark, base, t).drop("run_id")) for t in CONTRACTS])
+    values = spark.read.parquet(f"{base}/values/*")
     return offenders.frequent_values(values, sketch).drop("estimate")
 
 

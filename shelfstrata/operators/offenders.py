@@ -14,6 +14,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from shelfstrata.functions.columns import named
+from shelfstrata.operators.quarantine import failing_rows, of_broken
+from shelfstrata.operators.rules import Contract, Rule
 
 CHECK = ("table_name", "rule_name", "column_name")
 WIDTH = 2048
@@ -36,6 +38,49 @@ def offending(quarantined: DataFrame) -> DataFrame:
     )
 
 
+def failing_values(df: DataFrame, contract: Contract) -> DataFrame:
+    """What ``offending`` gives for the quarantine of ``df``, without building it: rows with equal values may come as one, which
+    ``_rows`` counts.
+
+    Values alone leave the scan. For uniqueness a key is counted and is its own value, so that no whole row is shuffled.
+    """
+    table = F.lit(contract.table)
+    row_rules = [r for r in contract.rules if r.is_row_rule or r.is_missing(df)]
+    parts = []
+    if row_rules:
+        told = [F.struct(F.lit(r.name).alias("rule_name"), F.lit(r.column).alias("column_name"), _value(df, r).alias("value")) for r in row_rules]
+        broken = df.select(F.inline(of_broken(df, row_rules, told)))
+        parts.append(broken.select(table.alias("table_name"), "*", F.lit(1).cast("long").alias("_rows")))
+    for rule in contract.rules:
+        if rule in row_rules:
+            continue
+        if rule.column in df.columns and rule.column not in rule.key_columns:
+            failing = failing_rows(df, rule).select("*", F.lit(1).cast("long").alias("_rows"))
+        else:
+            keys = [named(k) for k in rule.key_columns]
+            present = reduce(lambda left, right: left & right, [k.isNotNull() for k in keys])
+            failing = df.filter(present).groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")).filter("_rows > 1")
+        check = [table.alias("table_name"), F.lit(rule.name).alias("rule_name"), F.lit(rule.column).alias("column_name")]
+        parts.append(failing.select(*check, _value(df, rule).alias("value"), "_rows"))
+    if not parts:
+        raise ValueError(f"Contract has no rules: {contract.table}")
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _value(df: DataFrame, rule: Rule) -> Column:
+    known = rule.column in df.columns and not rule.column.startswith("_")
+    return named(rule.column).cast("string") if known else F.lit(None).cast("string")
+
+
+def _rows_of(values: DataFrame) -> list[str]:
+    return [c for c in values.columns if c == "_rows"]
+
+
+def _counted(values: DataFrame) -> Column:
+    """How many failing rows the rows of a group stand for."""
+    return F.sum("_rows") if "_rows" in values.columns else F.count(F.lit(1))
+
+
 def _cells(width: int, depth: int) -> Column:
     lanes = [F.lit(n * width) + F.pmod(F.xxhash64(F.lit(n), "value"), F.lit(width)) for n in range(depth)]
     return F.array(*[cell.cast("int") for cell in lanes])
@@ -43,8 +88,8 @@ def _cells(width: int, depth: int) -> Column:
 
 def value_sketch(values: DataFrame, width: int = WIDTH, depth: int = DEPTH) -> DataFrame:
     """The cells of each check that hold rows: at most ``width * depth`` for a check."""
-    cells = values.select(*CHECK, F.explode(_cells(width, depth)).alias("cell"))
-    return cells.groupBy(*CHECK, "cell").agg(F.count(F.lit(1)).alias("rows"))
+    cells = values.select(*CHECK, *_rows_of(values), F.explode(_cells(width, depth)).alias("cell"))
+    return cells.groupBy(*CHECK, "cell").agg(_counted(values).alias("rows"))
 
 
 def merged(*sketches: DataFrame) -> DataFrame:
@@ -58,7 +103,8 @@ def frequent_values(
 ) -> DataFrame:
     """Values with at least ``share`` of the rows that fail a check: exact row count, exact share, and the sketch's estimate.
 
-    ``values`` are the rows that ``sketch`` was taken of; further columns are ignored. Full cells are at most
+    ``values`` are the rows that ``sketch`` was taken of, each standing for as many as ``_rows`` tells if it has that column; further
+    columns are ignored. Full cells are at most
     ``depth / share`` per check, a bound that holds for any number of rows, so they are broadcast.
     """
     if not 0 < share <= 1:
@@ -66,12 +112,12 @@ def frequent_values(
     totals = sketch.filter(F.col("cell") < width).groupBy(*CHECK).agg(F.sum("rows").alias("check_rows"))
     full = sketch.join(totals, list(CHECK)).filter(F.col("rows") >= F.col("check_rows") * F.lit(share))
     full = full.groupBy(*CHECK, "check_rows").agg(F.map_from_entries(F.collect_list(F.struct("cell", "rows"))).alias("_full"))
-    found = values.select(*CHECK, "value", _cells(width, depth).alias("_cells")).join(F.broadcast(full), list(CHECK))
+    found = values.select(*CHECK, "value", *_rows_of(values), _cells(width, depth).alias("_cells")).join(F.broadcast(full), list(CHECK))
     found = found.select(
-        *CHECK, "value", "check_rows", F.transform("_cells", lambda cell: F.try_element_at("_full", cell)).alias("_held")
+        *CHECK, "value", "check_rows", *_rows_of(values), F.transform("_cells", lambda cell: F.try_element_at("_full", cell)).alias("_held")
     ).filter(F.forall("_held", lambda rows: rows.isNotNull()))
     counted = found.groupBy(*CHECK, "check_rows", "value").agg(
-        F.count(F.lit(1)).alias("row_count"), F.first(F.array_min("_held")).alias("estimate")
+        _counted(values).alias("row_count"), F.first(F.array_min("_held")).alias("estimate")
     )
     return counted.filter(F.col("row_count") >= F.col("check_rows") * F.lit(share)).select(
         *CHECK, "value", "row_count", (F.col("row_count") / F.col("check_rows")).alias("share"), "estimate"

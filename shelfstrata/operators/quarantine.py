@@ -63,7 +63,7 @@ def quarantine(df: DataFrame, contract: Contract) -> DataFrame:
     key_rules = [r for r in contract.rules if r not in row_rules]
     parts = []
     if row_rules:
-        reasons = _of_broken(df, row_rules, [_reason(df, contract, r) for r in row_rules])
+        reasons = of_broken(df, row_rules, [_reason(df, contract, r) for r in row_rules])
         parts.append(df.select("*", F.inline(reasons)))
     for rule in key_rules:
         reason = F.array(_reason(df, contract, rule))
@@ -82,7 +82,7 @@ def _reason(df: DataFrame, contract: Contract, rule: Rule) -> Column:
     )
 
 
-def _of_broken(df: DataFrame, rules: Sequence[Rule], values: Sequence[Column]) -> Column:
+def of_broken(df: DataFrame, rules: Sequence[Rule], values: Sequence[Column]) -> Column:
     """Array of the values of the rules a row breaks; NULL, and no array built, if it breaks none."""
     any_fails = reduce(lambda left, right: left | right, [r.fails(df) for r in rules])
     each = [F.when(r.fails(df), value) for r, value in zip(rules, values, strict=True)]
@@ -106,7 +106,7 @@ def flag(df: DataFrame, contract: Contract) -> DataFrame:
     if not rules:
         return df.select("*", F.array().cast("array<string>").alias("_broken_rules"))
     names = [F.lit(f"{r.name}:{r.column}") for r in rules]
-    broken = F.coalesce(_of_broken(df, rules, names), F.array().cast("array<string>"))
+    broken = F.coalesce(of_broken(df, rules, names), F.array().cast("array<string>"))
     return df.select("*", broken.alias("_broken_rules"))
 
 

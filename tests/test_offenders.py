@@ -73,3 +73,25 @@ def test_no_rows_and_bad_share(spark):
     assert offenders.frequent_values(empty, sketch).collect() == []
     with pytest.raises(ValueError):
         offenders.frequent_values(empty, sketch, 0.0)
+
+
+def test_failing_values_are_those_of_the_quarantine_without_whole_rows(spark):
+    rules = {
+        "a": ["not_null", {"min_value": 0}, {"unique": ["k", "b"]}], "k": ["unique"], "gone": ["not_null"], "_own": ["not_null"],
+        "k,b": [{"unique": ["k", "b"]}],
+    }
+    contract = Contract.of("t", ["k"], rules)
+    given = [("x", None, 1, None), ("x", -1, 1, "o"), ("x", -1, 2, None), ("y", 2, None, None), (None, -3, 1, "o"), (None, 1, 1, "o")]
+    rows = spark.createDataFrame(given, "k string, a int, b int, _own string")
+    expected = Counter(tuple(r) for r in offenders.offending(quarantine(rows, contract)).collect())
+    values = offenders.failing_values(rows, contract)
+    told = Counter()
+    for r in values.collect():
+        told[tuple(r)[:4]] += r["_rows"]
+    assert told == expected
+    whole = spark.createDataFrame([key for key, n in expected.items() for _ in range(n)], SCHEMA)
+    assert sorted(map(str, offenders.value_sketch(values).collect())) == sorted(map(str, offenders.value_sketch(whole).collect()))
+    assert found(offenders.frequent_values(values, offenders.value_sketch(values))) == wanted([tuple(r) for r in whole.collect()], 0.01)
+    # Of a uniqueness rule only keys and their counts are shuffled.
+    plan = offenders.failing_values(rows.select("k", "a", "b"), Contract.of("t", ["k"], {"k": ["unique"]}))._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and plan.count("Exchange") == 1
