@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections import Counter, defaultdict
 from collections.abc import Callable
 from datetime import datetime
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -224,8 +225,8 @@ def bronze_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bronze_ingest_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake, base = Lake(spark, sf_dir), scratch_folder(spark, "bronze")
-    for entity, file in SOURCE_FILES.items():
-        landing.write_csv(lake.text(entity), f"{base}/landing/{file}")
+    landed = {f"{base}/landing/{file}": lake.text(entity) for entity, file in SOURCE_FILES.items()}
+    tables.side_by_side(spark, [partial(landing.write_csv, text, path) for path, text in landed.items()])
     audit = ingest_all(spark, f"{base}/landing", f"{base}/bronze")
     return audit.select("source_name", "row_count", "column_count")
 

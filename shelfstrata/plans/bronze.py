@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import asdict, dataclass
 from datetime import datetime, timezone
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfstrata.sources.landing import read_csv, with_lineage
-from shelfstrata.sources.tables import table_path, write_table
+from shelfstrata.sources.tables import side_by_side, table_path, write_table
 
 # The landed file of each source.
 SOURCE_FILES = {
@@ -63,9 +64,10 @@ def ingest_all(
     sources: Mapping[str, str] = SOURCE_FILES,
     fmt: str = "parquet",
 ) -> DataFrame:
-    """Ingest every source; the audit has one row per source."""
-    done = [
-        ingest(spark, name, table_path(landing_base, file), bronze_base, fmt)
+    """Ingest every source, some side by side; the audit has one row per source, in the order given."""
+    jobs = [
+        partial(ingest, spark, name, table_path(landing_base, file), bronze_base, fmt)
         for name, file in sources.items()
     ]
+    done = side_by_side(spark, jobs)
     return spark.createDataFrame([asdict(d) for d in done], AUDIT_SCHEMA)

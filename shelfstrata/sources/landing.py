@@ -12,6 +12,9 @@ from shelfstrata.functions.columns import named
 
 CSV_OPTIONS = {"header": "true", "quote": '"', "escape": '"'}
 
+#: Rows of a file that ``write_csv`` writes at most, as one task reads a whole file.
+ROWS_PER_FILE = 250_000
+
 
 def read_csv(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """CSV with a header, quoted fields, doubled quotes and line breaks inside fields.
@@ -89,9 +92,11 @@ def _reason(record: Column, fields: int) -> Column:
 
 def write_csv(df: DataFrame, path: str) -> str:
     """Write CSV that ``read_csv`` reads back. NULL and empty text both become empty fields, and are
-    read back as NULL."""
+    read back as NULL. A task writes several files if it has many rows: they are read whole, and packed into tasks
+    of even size."""
     # Unlike the reader, the writer trims values unless told not to.
     whole = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    whole["maxRecordsPerFile"] = ROWS_PER_FILE
     df.write.mode("overwrite").options(**CSV_OPTIONS, **whole).csv(path)
     return path
 
@@ -115,7 +120,7 @@ def with_lineage(
     return df.select(
         "*",
         F.lit(source_name).alias("_bronze_source_name"),
-        F.element_at(F.split(path, "/"), -1).alias("_bronze_source_file"),
+        F.substring_index(path, "/", -1).alias("_bronze_source_file"),
         path.alias("_bronze_source_path"),
         instant.alias("_bronze_ingested_at"),
         day.alias("_bronze_ingestion_date"),
@@ -123,4 +128,6 @@ def with_lineage(
 
 
 def _decoded(path: Column) -> Column:
-    return F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    """Most paths hold nothing to decode, which is much cheaper to see than to decode for each row."""
+    decoded = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
+    return F.when(F.contains(path, F.lit("%")), decoded).otherwise(path)

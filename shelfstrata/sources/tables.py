@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
+from typing import TypeVar
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
+T = TypeVar("T")
+
 
 def read_table(spark: SparkSession, base: str, table: str, fmt: str = "parquet") -> DataFrame:
     """A table stored as a folder ``base/table``, or as the single file Spark finds in it."""
@@ -41,6 +46,22 @@ def write_table(
     return seen.get["rows"]
 
 
+def side_by_side(spark: SparkSession, jobs: Sequence[Callable[[], T]], ways: int = 4) -> list[T]:
+    """Results of independent jobs, in their order, ``ways`` of them running at a time.
+
+    One after the other, the cores that the last tasks of a job leave idle wait for the next job, which tells where
+    tables have few tasks or tasks differ in size. The first error is raised once what has started is done.
+    """
+    run = inheritable_thread_target(spark)
+    with ThreadPoolExecutor(max_workers=ways) as pool:
+        started = [pool.submit(run(job)) for job in jobs]
+        try:
+            return [job.result() for job in started]
+        finally:
+            for job in started:
+                job.cancel()
+
+
 def write_report(report: DataFrame, path: str) -> str:
     """Write a report, one row per check or source, as CSV with a header."""
     report.coalesce(1).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)

@@ -1,5 +1,7 @@
 import csv
+import threading
 from datetime import datetime
+from functools import partial
 from pathlib import Path
 from types import SimpleNamespace
 
@@ -14,7 +16,7 @@ from shelfstrata.operators.rules import Contract
 from shelfstrata.plans.bronze import SOURCE_FILES, ingest, ingest_all
 from shelfstrata.plans.silver import transform_all
 from shelfstrata.schemas import BRONZE_METADATA, ENTITIES
-from shelfstrata.sources import tables
+from shelfstrata.sources import landing, tables
 from shelfstrata.sources.landing import read_csv, with_lineage, write_csv
 from shelfstrata.sources.quarantine import quarantine_path, read_quarantine, write_quarantine
 from shelfstrata.sources.scratch import scratch_folder
@@ -224,3 +226,31 @@ def test_csv_is_written_as_it_is_read(spark, tmp_path):
     df = spark.createDataFrame([('a "b"\n,c', None), ("", "x")], "p string, q string")
     back = read_csv(spark, write_csv(df, str(tmp_path / "c")))
     assert sorted(map(tuple, back.collect()), key=str) == [('a "b"\n,c', None), (None, "x")]
+
+
+def test_a_task_with_many_rows_lands_several_csv_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(landing, "ROWS_PER_FILE", 10)
+    rows = spark.range(25).selectExpr("cast(id as string) as id", "'a,\n\"b\"' as note").coalesce(1)
+    path = landing.write_csv(rows, str(tmp_path / "notes.csv"))
+    assert len(list((tmp_path / "notes.csv").glob("part-*.csv"))) == 3
+    assert sorted(landing.read_csv(spark, path).collect()) == sorted(rows.collect())
+
+
+def test_lineage_decodes_only_what_is_encoded(spark, tmp_path):
+    for name in ("plain+name.csv", "a b%20c+d.csv"):
+        (tmp_path / name).write_text("id\n1\n")
+    found = landing.with_lineage(landing.read_csv(spark, str(tmp_path)), "x").collect()
+    assert {r._bronze_source_file for r in found} == {"plain+name.csv", "a b%20c+d.csv"}
+    assert {r._bronze_source_path.rsplit("/", 1)[-1] for r in found} == {"plain+name.csv", "a b%20c+d.csv"}
+
+
+def test_jobs_side_by_side_run_together_and_keep_their_order(spark):
+    met = threading.Barrier(2, timeout=30)
+
+    def job(number):
+        met.wait()
+        return spark.range(number).count()
+
+    assert tables.side_by_side(spark, [partial(job, n) for n in (3, 1, 2, 4)], ways=2) == [3, 1, 2, 4]
+    with pytest.raises(ZeroDivisionError):
+        tables.side_by_side(spark, [lambda: 1, lambda: 1 // 0])
