@@ -336,3 +336,19 @@ def test_points_outside_all_intervals_are_left_out_before_the_join(spark, tmp_pa
     joined.explain()
     scan = next(line for line in capsys.readouterr().out.splitlines() if "FileScan" in line and "day" in line)
     assert "day" in scan and ">=" in scan.split("DataFilters")[1] and "<=" in scan.split("DataFilters")[1]
+
+
+def test_daily_kpis_hold_amounts_apart_from_distinct_values(spark, revenue, capsys):
+    nothing = (None, None, None, None, "store", None, None, 1, 1.0, 0.0, 1.0, 0.0, None, None)
+    sales = revenue.unionByName(spark.createDataFrame([nothing, nothing[:4] + (None,) + nothing[5:]], REVENUE))
+    kpis = marts.mart_daily_retail_kpis(sales)
+    found = kpis.select("order_date", "channel", *marts.KPI_DISTINCT, "total_units_sold")
+    wanted = sales.groupBy("order_date", "channel").agg(
+        *[F.count_distinct(column).alias(name) for name, column in marts.KPI_DISTINCT.items()],
+        F.sum("quantity").alias("total_units_sold"),
+    )
+    assert sorted(found.collect(), key=str) == sorted(wanted.collect(), key=str)
+    capsys.readouterr()
+    kpis.explain()
+    # An Expand would bring the state of every amount to the row of every distinct value.
+    assert "Expand" not in capsys.readouterr().out
