@@ -240,8 +240,8 @@ def roundtrip_reconcile(spark: SparkSession, sf_dir: str) -> DataFrame:
 def registered_row_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All silver tables written, registered in the catalog and counted there."""
     lake, base = Lake(spark, sf_dir), scratch_folder(spark, "silver")
-    for entity in ENTITIES:
-        tables.write_table(lake.silver(entity), tables.table_path(base, entity))
+    silver = {tables.table_path(base, entity): lake.silver(entity) for entity in ENTITIES}
+    tables.side_by_side(spark, [partial(tables.write_table, df, path) for path, df in silver.items()])
     schema = f"silver_{base.rsplit('-', 1)[-1].replace('/', '_')}"
     tables.register_tables(spark, schema, base, ENTITIES, location=f"{base}/_schema")
     return tables.registered_row_counts(spark, schema).select("table_name", "row_count")

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfstrata.operators.conform import conform, stamp_silver
 from shelfstrata.operators.dedup import keep_latest
 from shelfstrata.schemas import ENTITIES
-from shelfstrata.sources.tables import read_table, table_path, write_table
+from shelfstrata.sources.tables import read_table, side_by_side, table_path, write_table
 
 
 def to_silver(bronze: DataFrame, entity: str) -> DataFrame:
@@ -51,5 +52,7 @@ def transform(
 def transform_all(
     spark: SparkSession, bronze_base: str, silver_base: str, **formats
 ) -> list[Transformed]:
-    """Every entity in turn; ``formats`` are those of ``transform``, and its options."""
-    return [transform(spark, e, bronze_base, silver_base, **formats) for e in ENTITIES]
+    """Every entity, some side by side; ``formats`` are those of ``transform``, and its options."""
+    return side_by_side(
+        spark, [partial(transform, spark, e, bronze_base, silver_base, **formats) for e in ENTITIES]
+    )

@@ -14,6 +14,7 @@ from shelfstrata.operators.conform import stamp_silver
 from shelfstrata.operators.quarantine import quarantine, summarise
 from shelfstrata.operators.rules import Contract
 from shelfstrata.plans.bronze import SOURCE_FILES, ingest, ingest_all
+from shelfstrata.plans import silver
 from shelfstrata.plans.silver import transform_all
 from shelfstrata.schemas import BRONZE_METADATA, ENTITIES
 from shelfstrata.sources import landing, tables
@@ -254,3 +255,15 @@ def test_jobs_side_by_side_run_together_and_keep_their_order(spark):
     assert tables.side_by_side(spark, [partial(job, n) for n in (3, 1, 2, 4)], ways=2) == [3, 1, 2, 4]
     with pytest.raises(ZeroDivisionError):
         tables.side_by_side(spark, [lambda: 1, lambda: 1 // 0])
+
+
+def test_silver_tables_are_written_side_by_side(spark, monkeypatch):
+    met = threading.Barrier(2, timeout=30)
+
+    def transform(_spark, entity, *_bases, **_formats):
+        if entity in list(ENTITIES)[:2]:
+            met.wait()
+        return entity
+
+    monkeypatch.setattr(silver, "transform", transform)
+    assert silver.transform_all(spark, "bronze", "silver") == list(ENTITIES)
