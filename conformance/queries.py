@@ -29,6 +29,9 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 VOLATILE = ("_quarantine_time", "_quarantine_date")
 
+#: Column of silver tables about to be checked: how many rows have the row's key.
+ROWS = "_rows"
+
 EVENT_CONTRACT = Contract.of(
     "events",
     ["event_id"],
@@ -149,7 +152,7 @@ def dedup_any(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def validate_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return v.report(Lake(spark, sf_dir).silver("orders"), CONTRACTS["orders"])
+    return v.report(Lake(spark, sf_dir).silver("orders", ROWS), CONTRACTS["orders"], ROWS)
 
 
 def rule_missing_column(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -158,17 +161,16 @@ def rule_missing_column(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def validation_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     lake = Lake(spark, sf_dir)
-    return v.report_all({e: lake.silver(e) for e in ENTITIES}, list(CONTRACTS.values()))
+    return v.report_all({e: lake.silver(e, ROWS) for e in ENTITIES}, list(CONTRACTS.values()), ROWS)
 
 
 def relationship_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return v.relationship_report(Lake(spark, sf_dir).related(), RELATIONSHIPS)
+    lake = Lake(spark, sf_dir)
+    return v.relationship_report(lake.related(), RELATIONSHIPS, lake.parents(RELATIONSHIPS))
 
 
 def quality_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lake = Lake(spark, sf_dir)
-    checks = v.report_all({e: lake.silver(e) for e in ENTITIES}, list(CONTRACTS.values()))
-    return v.gate_summary(checks, v.relationship_report(lake.related(), RELATIONSHIPS))
+    return v.gate_summary(validation_report(spark, sf_dir), relationship_report(spark, sf_dir))
 
 
 def orphan_keys(spark: SparkSession, sf_dir: str) -> DataFrame:

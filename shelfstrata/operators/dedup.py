@@ -9,7 +9,9 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 from shelfstrata.functions.columns import named
 
 
-def keep_latest(df: DataFrame, keys: Sequence[str], recency: Sequence[str] = ()) -> DataFrame:
+def keep_latest(
+    df: DataFrame, keys: Sequence[str], recency: Sequence[str] = (), counted: str | None = None
+) -> DataFrame:
     """The newest row of each key; rows whose key is NULL count as one key.
 
     Newest means greatest in the ``recency`` columns, in turn, NULLs last. Columns not in the
@@ -19,6 +21,9 @@ def keep_latest(df: DataFrame, keys: Sequence[str], recency: Sequence[str] = ())
     Spark limits each key to one row before the shuffle (``WindowGroupLimit`` in the plan), so a key
     that holds a third of the table sends one row per map task. Rows are sorted by the hash of the key
     first: ids often begin alike, and comparing hashes is much faster than comparing such ids.
+
+    ``counted`` names a column to add: how many rows of the result have the row's key. They are counted where the
+    rows lie sorted by that key, so it takes no shuffle.
     """
     missing = [key for key in keys if key not in df.columns]
     if missing:
@@ -26,15 +31,16 @@ def keep_latest(df: DataFrame, keys: Sequence[str], recency: Sequence[str] = ())
     newest_first = [c for c in recency if c in df.columns]
     rest = [c for c in df.columns if c not in {*keys, *newest_first}]
     order = [_orderable(df, c).desc_nulls_last() for c in [*newest_first, *rest]]
-    if not order:
-        return df.dropDuplicates(list(keys))
     key = [named(k) for k in keys]
-    window = Window.partitionBy(F.xxhash64(*key), *key).orderBy(*order)
-    return (
-        df.withColumn("_rank", F.row_number().over(window))
-        .filter(F.col("_rank") == 1)
-        .drop("_rank")
-    )
+    if not order:
+        kept, by_key = df.dropDuplicates(list(keys)), Window.partitionBy(*key)
+    else:
+        by_key = Window.partitionBy("_key_hash", *key)
+        hashed = df.withColumn("_key_hash", F.xxhash64(*key))
+        kept = hashed.withColumn("_rank", F.row_number().over(by_key.orderBy(*order))).filter(F.col("_rank") == 1)
+    if counted:
+        kept = kept.withColumn(counted, F.count(F.lit(1)).over(by_key))
+    return kept.drop("_rank", "_key_hash")
 
 
 def _orderable(df: DataFrame, name: str) -> Column:

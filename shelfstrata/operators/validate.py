@@ -36,47 +36,57 @@ class QualityGateError(RuntimeError):
     """Raised when a report holds failed checks."""
 
 
-def report(df: DataFrame, contract: Contract) -> DataFrame:
+def report(df: DataFrame, contract: Contract, counted: str | None = None) -> DataFrame:
     """All checks of a contract, in contract order.
 
     One pass and one row of partial counts per task for all row rules together; one shuffle of the
     key alone for each uniqueness rule, with counts merged before it.
+
+    ``counted`` names a column that holds how many rows have the row's primary key (``keep_latest`` adds it);
+    the uniqueness rule on that key then is one of the row rules.
     """
-    return _in_order(_checks(df, contract, 0))
+    return _in_order(_checks(df, contract, 0, counted))
 
 
-def report_all(tables: Mapping[str, DataFrame], contracts: Sequence[Contract]) -> DataFrame:
+def report_all(
+    tables: Mapping[str, DataFrame], contracts: Sequence[Contract], counted: str | None = None
+) -> DataFrame:
     """The reports of several tables in one DataFrame, in the order of the contracts."""
     missing = [c.table for c in contracts if c.table not in tables]
     if missing:
         raise ValueError(f"Tables to validate are missing: {missing}")
     parts, start = [], 0
     for contract in contracts:
-        parts.append(_checks(tables[contract.table], contract, start))
+        parts.append(_checks(tables[contract.table], contract, start, counted))
         start += len(contract.rules)
     return _in_order(reduce(DataFrame.unionByName, parts))
 
 
-def _checks(df: DataFrame, contract: Contract, start: int) -> DataFrame:
+def _checks(df: DataFrame, contract: Contract, start: int, counted: str | None = None) -> DataFrame:
     numbered = list(enumerate(contract.rules, start))
-    row_rules = [(i, r) for i, r in numbered if r.is_row_rule or r.is_missing(df)]
+    known = [r for r in contract.rules if counted and not r.is_row_rule and tuple(r.key_columns) == contract.primary_key]
+    row_rules = [(i, r) for i, r in numbered if r.is_row_rule or r.is_missing(df) or r in known]
     parts = []
     if row_rules:
-        counted = df.agg(
+        failing = [
+            (i, _is_duplicated(rule, counted) if rule in known and not rule.is_missing(df) else rule.fails(df))
+            for i, rule in row_rules
+        ]
+        totals = df.agg(
             F.count(F.lit(1)).alias("total"),
-            *[F.count_if(rule.fails(df)).alias(f"failed_{i}") for i, rule in row_rules],
+            *[F.count_if(fails).alias(f"failed_{i}") for i, fails in failing],
         )
         checks = [_check(df, contract.table, rule, i, f"failed_{i}") for i, rule in row_rules]
-        parts.append(counted.selectExpr(f"inline(array({', '.join(checks)}))"))
+        parts.append(totals.selectExpr(f"inline(array({', '.join(checks)}))"))
     for i, rule in numbered:
-        if rule.is_row_rule or rule.is_missing(df):
+        if (i, rule) in row_rules:
             continue
-        counted = _key_counts(df, rule.key_columns).agg(
+        totals = _key_counts(df, rule.key_columns).agg(
             F.coalesce(F.sum("rows"), F.lit(0)).alias("total"),
-            F.coalesce(F.sum(F.when(_is_duplicated(rule), F.col("rows"))), F.lit(0)).alias("failed"),
+            F.coalesce(F.sum(F.when(_is_duplicated(rule, "rows"), F.col("rows"))), F.lit(0)).alias("failed"),
         )
         check = _check(df, contract.table, rule, i, "failed")
-        parts.append(counted.selectExpr(f"inline(array({check}))"))
+        parts.append(totals.selectExpr(f"inline(array({check}))"))
     if not parts:
         raise ValueError(f"Contract has no rules: {contract.table}")
     return reduce(DataFrame.unionByName, parts)
@@ -86,11 +96,11 @@ def _key_counts(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return df.groupBy(*[named(k) for k in keys]).agg(F.count(F.lit(1)).alias("rows"))
 
 
-def _is_duplicated(rule: Rule) -> Column:
+def _is_duplicated(rule: Rule, rows: str) -> Column:
     return reduce(
         lambda left, right: left & right,
         [named(k).isNotNull() for k in rule.key_columns],
-        F.col("rows") > 1,
+        named(rows) > 1,
     )
 
 
@@ -178,36 +188,51 @@ def orphan_keys(
 
 
 def relationship_report(
-    tables: Mapping[str, DataFrame], relationships: Sequence[Relationship]
+    tables: Mapping[str, DataFrame],
+    relationships: Sequence[Relationship],
+    parents: Mapping[tuple[str, str], DataFrame] | None = None,
 ) -> DataFrame:
-    """One row per relationship; counts are of distinct keys."""
-    parts = []
+    """One row per relationship; counts are of distinct keys.
+
+    A child table is passed over once for all its relationships; both sides are reduced to their distinct keys before
+    they meet. ``parents`` may name, by table and column, other rows with the same keys that are cheaper to read.
+    """
+    if not relationships:
+        raise ValueError("No relationships given")
+    groups: dict[tuple, list] = {}
     for position, relationship in enumerate(relationships):
         child, parent = _sides(tables, relationship)
-        counted = orphan_counts(
-            child, relationship.child_column, parent, relationship.parent_column
-        ).agg(
-            F.count_if("is_orphan").alias("failed_count"), F.count(F.lit(1)).alias("child_count")
-        )
-        parts.append(
-            counted.selectExpr(
-                f"{position} as _position",
-                f"{sql_text(relationship.name)} as table_relationship_name",
-                f"{sql_text(relationship.child_table)} as child_table",
-                f"{sql_text(relationship.child_column)} as child_column",
-                f"{sql_text(relationship.parent_table)} as parent_table",
-                f"{sql_text(relationship.parent_column)} as parent_column",
-                "failed_count = 0 as passed",
-                "failed_count",
-                "child_count",
-                f"{sql_text(relationship.details)} as details",
-            )
-        )
-    if not parts:
-        raise ValueError("No relationships given")
+        place = (relationship.parent_table, relationship.parent_column)
+        keys = (parents or {}).get(place, parent).select(named(relationship.parent_column).alias("key"))
+        # Keys of one type share a column.
+        types = (child.schema[relationship.child_column].dataType, keys.schema["key"].dataType)
+        groups.setdefault((relationship.child_table, *types), []).append((position, relationship, keys))
+    parts = [_related(tables[table], group) for (table, *_), group in groups.items()]
     return _in_order(reduce(DataFrame.unionByName, parts))
 
 
+def _related(child: DataFrame, group: Sequence[tuple[int, Relationship, DataFrame]]) -> DataFrame:
+    """The lines of the relationships of one child table, each with its position and the keys of its parent."""
+    pairs = [F.struct(F.lit(p).alias("_position"), named(r.child_column).alias("key")) for p, r, _ in group]
+    found = child.select(F.inline(F.array(*pairs))).filter("key is not null").distinct()
+    known = reduce(DataFrame.unionByName, [keys.select(F.lit(p).alias("_position"), "key") for p, _, keys in group])
+    known = known.filter("key is not null").distinct().select("_position", "key", F.lit(True).alias("_known"))
+    mine = {p: F.col("_position") == p for p, _, _ in group}
+    counted = found.join(known, ["_position", "key"], "left").agg(
+        *[F.count_if(is_mine & F.col("_known").isNull()).alias(f"failed_{p}") for p, is_mine in mine.items()],
+        *[F.count_if(is_mine).alias(f"children_{p}") for p, is_mine in mine.items()],
+    )
+    lines = [
+        f"struct({p} as _position, {sql_text(r.name)} as table_relationship_name, "
+        f"{sql_text(r.child_table)} as child_table, {sql_text(r.child_column)} as child_column, "
+        f"{sql_text(r.parent_table)} as parent_table, {sql_text(r.parent_column)} as parent_column, "
+        f"failed_{p} = 0 as passed, failed_{p} as failed_count, children_{p} as child_count, "
+        f"{sql_text(r.details)} as details)"
+        for p, r, _ in group
+    ]
+    return counted.selectExpr(f"inline(array({', '.join(lines)}))")
+
+
 def _sides(
     tables: Mapping[str, DataFrame], relationship: Relationship
 ) -> tuple[DataFrame, DataFrame]:

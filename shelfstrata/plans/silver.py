@@ -14,13 +14,13 @@ from shelfstrata.schemas import ENTITIES
 from shelfstrata.sources.tables import read_table, side_by_side, table_path, write_table
 
 
-def to_silver(bronze: DataFrame, entity: str) -> DataFrame:
-    """The silver table of one entity."""
+def to_silver(bronze: DataFrame, entity: str, counted: str | None = None) -> DataFrame:
+    """The silver table of one entity; ``counted`` is that of ``keep_latest``."""
     if entity not in ENTITIES:
         raise ValueError(f"No silver schema for table: {entity}")
     declared = ENTITIES[entity]
     conformed = conform(bronze, declared.schema)
-    return stamp_silver(keep_latest(conformed, declared.key, declared.recency))
+    return stamp_silver(keep_latest(conformed, declared.key, declared.recency, counted))
 
 
 @dataclass(frozen=True)

@@ -160,3 +160,12 @@ def test_keep_latest_limits_each_key_before_the_shuffle(spark, capsys):
     plan = capsys.readouterr().out
     assert plan.count("WindowGroupLimit") == 2
     assert plan.index("Exchange") > plan.index("WindowGroupLimit")
+
+
+def test_keep_latest_counts_the_rows_it_keeps_without_a_shuffle(spark, capsys):
+    df = spark.createDataFrame([("a", 1), ("a", 2), (None, 3), (None, 4), ("b", 5)], "k string, v int")
+    kept = keep_latest(df, ["k"], ["v"], "n")
+    assert rows(kept) == sorted([("a", 2, 1), (None, 4, 1), ("b", 5, 1)], key=str)
+    assert rows(keep_latest(df.select("k"), ["k"], counted="n")) == sorted([("a", 1), (None, 1), ("b", 1)], key=str)
+    keep_latest(df, ["k"], ["v"], "n").explain()
+    assert capsys.readouterr().out.count("Exchange hashpartitioning") == 1

@@ -309,3 +309,44 @@ def test_duplicated_keys_are_told_apart_where_hashes_are_equal(spark, monkeypatc
     assert "Exchange hashpartitioning(hash" in capsys.readouterr().out
     monkeypatch.setattr(modeltests.F, "xxhash64", lambda *columns: F.lit(7))
     assert sorted(r.key for r in modeltests._duplicated(keys).collect()) == ["b", "c"]
+
+
+def test_key_counted_before_is_checked_with_the_row_rules(spark, capsys):
+    rows = [("CUSTOMER-000001", "gold", 2), ("CUSTOMER-000001", "tin", 2), (None, "gold", 2), (None, None, 2), ("C", "gold", 1)]
+    df = spark.createDataFrame(rows, "customer_id string, loyalty_tier string, n long")
+    report = v.report(df, CUSTOMERS, "n")
+    assert report.collect() == v.report(df.drop("n"), CUSTOMERS).collect()
+    assert by_rule(report)["customer_id", "unique"].failed_count == 2
+    report.explain()
+    assert "Exchange hashpartitioning" not in capsys.readouterr().out
+    # Uniqueness on anything else is still counted by a shuffle, and a missing key fails every row.
+    other = Contract.of("customers", ["customer_id"], {"loyalty_tier": ["unique"], "customer_id": ["unique"]})
+    assert [r.failed_count for r in v.report(df, other, "n").collect()] == [3, 2]
+    assert [r.failed_count for r in v.report(df.drop("customer_id"), other, "n").collect()] == [3, 5]
+
+
+def test_relationships_of_a_table_share_a_pass(spark, capsys):
+    lines = spark.createDataFrame(
+        [("O1", "P1", 1), ("O1", "P9", 1), ("O2", "P9", 2), (None, "P1", 3), ("O3", None, None)], "o string, p string, s int"
+    )
+    tables = {
+        "lines": lines,
+        "none": lines.where("false"),
+        "orders": spark.createDataFrame([("O1",), ("O1",), ("P9",), (None,)], "o string"),
+        "products": spark.createDataFrame([("P1",), ("O2",)], "p string"),
+        "stores": spark.createDataFrame([(2,), (3,)], "s int"),
+    }
+    related = [
+        Relationship("a", "lines", "o", "orders", "o"),
+        Relationship("b", "lines", "s", "stores", "s"),
+        Relationship("c", "none", "o", "orders", "o"),
+        Relationship("d", "lines", "p", "products", "p"),
+    ]
+    found = v.relationship_report(tables, related).collect()
+    assert [(r.table_relationship_name, r.passed, r.failed_count, r.child_count) for r in found] == [
+        ("a", False, 2, 3), ("b", False, 1, 3), ("c", True, 0, 0), ("d", False, 1, 2),
+    ]
+    repeated = {("products", "p"): tables["products"].union(tables["products"])}
+    assert v.relationship_report(tables, related, repeated).collect() == found
+    v.relationship_report({**tables, "lines": lines.repartition(3, "s")}, [related[0], related[3]]).explain()
+    assert capsys.readouterr().out.count("Exchange hashpartitioning(s") == 1
