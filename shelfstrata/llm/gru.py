@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 
 Params = dict[str, np.ndarray]
@@ -55,6 +57,44 @@ def pooled(a_f: np.ndarray, a_b: np.ndarray, mask: np.ndarray, p: Params, name:
     return result
 
 
+def read(inputs: Callable[[int, int], np.ndarray], mask: np.ndarray, p: Params, name: str) -> np.ndarray:
+    """What `pooled` gives, without what gradients need; a column per sequence.
+
+    `inputs(way, t)` are the projected inputs of a step, from the left (0) or the right (1), and `mask` has a row per step. Features come
+    first, so that the sequences of a feature lie side by side and each operation runs over long contiguous rows.
+    """
+    steps, rows = mask.shape
+    hidden, kind = len(p[f"{name}v"]) // 2, p[f"{name}v"].dtype
+    states = np.empty((steps, 2 * hidden, rows), dtype=kind)
+    for way, letter in enumerate("fb"):
+        u = np.ascontiguousarray(p[f"{name}U_{letter}"].T)
+        h = np.zeros((hidden, rows), dtype=kind)
+        q = np.empty((3 * hidden, rows), dtype=kind)
+        gates, n = q[: 2 * hidden], q[2 * hidden :]
+        for t in range(steps)[:: 1 - 2 * way]:
+            a = inputs(way, t)
+            np.matmul(u, h, out=q)
+            gates += a[: 2 * hidden]
+            # sigmoid(x) = (1 + tanh(x / 2)) / 2
+            gates *= 0.5
+            np.tanh(gates, out=gates)
+            gates += 1.0
+            gates *= 0.5
+            n *= gates[hidden:]
+            n += a[2 * hidden :]
+            np.tanh(n, out=n)
+            n -= h
+            left = np.subtract(1.0, gates[:hidden], out=gates[:hidden])
+            n *= left
+            n *= mask[t]
+            h = np.add(h, n, out=states[t, way * hidden : (way + 1) * hidden])
+    scores = np.where(mask > 0, p[f"{name}v"] @ states, np.float32(-1e9))
+    weights = np.exp(scores - scores.max(axis=0)) * mask
+    weights /= np.maximum(weights.sum(axis=0), 1e-9)
+    states *= weights[:, None]
+    return states.sum(axis=0)
+
+
 def _back(d_out: np.ndarray, kept: list, mask: np.ndarray, u: np.ndarray, d_u: np.ndarray) -> np.ndarray:
     hidden = u.shape[0]
     d_a = np.zeros((*d_out.shape[:2], 3 * hidden), dtype=np.float32)

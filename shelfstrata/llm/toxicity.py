@@ -98,10 +98,14 @@ def _telling(words: list[list[str]], labels: np.ndarray) -> dict[str, float]:
 def _word_inputs(words: list[str], p: Weights, keep: dict | None = None) -> np.ndarray:
     """Per word its embedding and what the first layer reads in its characters."""
     chars, known = _characters(words), np.array([p.vocabulary.get(w, 0) for w in words], dtype=np.int64)
-    x, mask = p["chars"][chars], (chars > 0).astype(np.float32)
-    inner = {} if keep is not None else None
-    read = gru.pooled(*gru.projected(x, p, "c"), mask, p, "c", inner)
-    if keep is not None:
+    if keep is None:
+        steps = np.ascontiguousarray(chars.T)
+        # Characters are few, so they are projected once and looked up.
+        looked_up = [np.ascontiguousarray(a.T) for a in gru.projected(p["chars"], p, "c")]
+        read = gru.read(lambda way, t: looked_up[way].take(steps[t], axis=1), (steps > 0).astype(np.float32), p, "c").T
+    else:
+        x, mask, inner = p["chars"][chars], (chars > 0).astype(np.float32), {}
+        read = gru.pooled(*gru.projected(x, p, "c"), mask, p, "c", inner)
         keep.update(chars=chars, known=known, x=x, inner=inner)
     return np.concatenate([p["words"][known], read], axis=1)
 
@@ -112,7 +116,7 @@ class _Inputs(dict):
     def __init__(self, p: Weights) -> None:
         super().__init__()
         self.p, self.new = p, []
-        self.size, self.table = 1, np.zeros((1024, 6 * HIDDEN), dtype=np.float32)
+        self.size, self.table = 1, np.zeros((1024, 2, 3 * HIDDEN), dtype=np.float32)
 
     def __missing__(self, word: str) -> int:
         self.new.append(word)
@@ -120,18 +124,19 @@ class _Inputs(dict):
         return number
 
     def numbers(self, words: list[str]) -> np.ndarray:
-        return np.fromiter((self[w] for w in words), dtype=np.int64, count=len(words))
+        return np.fromiter(map(self.__getitem__, words), dtype=np.int64, count=len(words))
 
     def fill(self) -> np.ndarray:
         """The table, with rows for all words that were numbered since."""
         order = sorted(range(len(self.new)), key=lambda i: len(self.new[i]))
         need = self.size + len(self.new)
         if need > len(self.table):
-            self.table = np.concatenate([self.table, np.zeros((max(need, 2 * len(self.table)) - len(self.table), 6 * HIDDEN), dtype=np.float32)])
+            more = max(need, 2 * len(self.table)) - len(self.table)
+            self.table = np.concatenate([self.table, np.zeros((more, *self.table.shape[1:]), dtype=np.float32)])
         for k in range(0, len(order), WINDOWS):
             part = order[k : k + WINDOWS]
             inputs = gru.projected(_word_inputs([self.new[i] for i in part], self.p), self.p, "w")
-            self.table[self.size + np.array(part)] = np.concatenate(inputs, axis=1)
+            self.table[self.size + np.array(part)] = np.stack(inputs, axis=1)
         self.size, self.new = need, []
         return self.table
 
@@ -156,10 +161,9 @@ def _window_numbers(numbers: np.ndarray) -> np.ndarray:
 def _scores(rows: np.ndarray, inputs: np.ndarray, p: Weights) -> np.ndarray:
     out = np.empty(len(rows), dtype=np.float32)
     for k in range(0, len(rows), WINDOWS):
-        part = rows[k : k + WINDOWS]
-        a = inputs[part]
-        states = gru.pooled(a[:, :, : 3 * HIDDEN], a[:, :, 3 * HIDDEN :], (part > 0).astype(np.float32), p, "w")
-        out[k : k + WINDOWS] = states @ p["out"] + p["bias"]
+        steps = np.ascontiguousarray(rows[k : k + WINDOWS].T)
+        states = gru.read(lambda way, t: np.ascontiguousarray(inputs[:, way][steps[t]].T), (steps > 0).astype(np.float32), p, "w")
+        out[k : k + WINDOWS] = p["out"] @ states + p["bias"]
     return out
 
 

@@ -186,6 +186,22 @@ def test_verdicts_do_not_hang_on_where_a_passage_falls():
         assert ((chances >= toxicity.DECISION) == (chances[0] >= toxicity.DECISION)).all()
 
 
+def test_reading_without_gradients_is_the_same_and_runs_over_long_rows(monkeypatch):
+    rng = np.random.default_rng(3)
+    p = gru.layer(rng, 5, 8, "w")
+    p["wv"] = rng.standard_normal(16).astype(np.float32)
+    x, mask = rng.standard_normal((300, 12, 5)).astype(np.float32), (rng.random((300, 12)) > 0.3).astype(np.float32)
+    mask[0] = 0
+    a = gru.projected(40 * x, p, "w")
+    want = gru.pooled(*a, mask, p, "w")
+    got = gru.read(lambda way, t: a[way][:, t].T, mask.T, p, "w")
+    assert got.shape == (16, 300) and np.allclose(got.T, want, atol=1e-5) and not got[:, 0].any()
+    # Scoring does not go by the way that keeps what gradients need.
+    monkeypatch.setattr(gru, "pooled", None)
+    network = toxicity.initial({"abc": 1})
+    assert np.isfinite(toxicity.score_texts(["abc def", None, "x " * 99], network, toxicity._Inputs(network))[0]).all()
+
+
 def test_toxicity_of_unseen_texts(docs_of, spark):
     rng = np.random.default_rng(5)
     plain = [f"w{i}" for i in range(60)]
