@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Collection, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
@@ -28,21 +28,36 @@ def keep_latest(
     missing = [key for key in keys if key not in df.columns]
     if missing:
         raise ValueError(f"Key columns not in the data: {missing}")
-    newest_first = [c for c in recency if c in df.columns]
-    rest = [c for c in df.columns if c not in {*keys, *newest_first}]
-    order = [_orderable(df, c).desc_nulls_last() for c in [*newest_first, *rest]]
+    order = [_orderable(df, c).desc_nulls_last() for c in _deciding(df.columns, keys, recency)]
     key = [named(k) for k in keys]
     if not order:
         kept, by_key = df.dropDuplicates(list(keys)), Window.partitionBy(*key)
     else:
         by_key = Window.partitionBy("_key_hash", *key)
-        hashed = df.withColumn("_key_hash", F.xxhash64(*key))
+        hashed = df.withColumn("_key_hash", F.hash(*key))
         kept = hashed.withColumn("_rank", F.row_number().over(by_key.orderBy(*order))).filter(F.col("_rank") == 1)
     if counted:
         kept = kept.withColumn(counted, F.count(F.lit(1)).over(by_key))
     return kept.drop("_rank", "_key_hash")
 
 
+def columns_behind(columns: Sequence[str], wanted: Collection[str], keys: Sequence[str], recency: Sequence[str] = ()) -> list[str]:
+    """Those of ``columns`` that ``keep_latest`` needs to give the ``wanted`` ones of the row it keeps.
+
+    Columns are compared in turn, so what comes after the last wanted one only tells apart rows that are equal in
+    all wanted columns, and may be left out of the data.
+    """
+    order = _deciding(columns, keys, recency)
+    last = max((place for place, c in enumerate(order, 1) if c in wanted), default=0)
+    return [c for c in columns if c in {*keys, *order[:last]}]
+
+
+def _deciding(columns: Sequence[str], keys: Sequence[str], recency: Sequence[str]) -> list[str]:
+    """The columns that say which row of a key is kept, the first one first."""
+    newest_first = [c for c in recency if c in columns]
+    return [*newest_first, *[c for c in columns if c not in {*keys, *newest_first}]]
+
+
 def _orderable(df: DataFrame, name: str) -> Column:
     if isinstance(df.schema[name].dataType, T.MapType):
         return F.to_json(named(name))
