@@ -30,6 +30,10 @@ _UNITS = {
 }
 
 
+#: Repeated hashes of a column that are broadcast at most, 8 bytes each.
+FEW = 500_000
+
+
 @dataclass(frozen=True)
 class ModelTest:
     """A test on a column of a model. ``argument`` is a pattern, the accepted values, the least
@@ -109,12 +113,17 @@ def _failing_units(models: Mapping[str, DataFrame], test: ModelTest) -> DataFram
 
 
 def _duplicated(keys: DataFrame) -> DataFrame:
-    """The keys that occur more than once. Only hashes are shuffled for all rows; keys are told apart where a hash occurs
-    more than once, which it also does where different keys share it."""
-    hashed = keys.select("key", F.xxhash64("key").alias("hash"))
+    """The keys that occur more than once. Only hashes, of 48 bits, are shuffled for all rows; keys are told apart where a hash occurs
+    more than once, which it also does where different keys share it.
+
+    Up to ``FEW`` such hashes are broadcast, so that no other key is shuffled; if there are more, all keys are grouped. Which it
+    is, a subquery decides before the keys are read.
+    """
+    hashed = keys.select("key", F.shiftrightunsigned(F.xxhash64("key"), 16).alias("hash"))
     repeated = hashed.groupBy("hash").count().filter("count > 1").select("hash")
-    found = hashed.join(repeated, "hash", "left_semi")
-    return found.groupBy("key").count().filter("count > 1")
+    many = repeated.agg((F.count(F.lit(1)) > FEW).alias("many")).scalar()
+    found = hashed.filter(~many).join(F.broadcast(repeated.filter(~many)), "hash", "left_semi")
+    return found.select("key").union(keys.filter(many)).groupBy("key").count().filter("count > 1")
 
 
 def _result(position: int, test: ModelTest, failures: str) -> str:

@@ -311,6 +311,26 @@ def test_duplicated_keys_are_told_apart_where_hashes_are_equal(spark, monkeypatc
     assert sorted(r.key for r in modeltests._duplicated(keys).collect()) == ["b", "c"]
 
 
+def test_keys_are_shuffled_only_where_a_hash_repeats(spark, monkeypatch, capsys):
+    from shelfstrata.operators import modeltests
+
+    keys = spark.range(300).selectExpr("if(id % 100 = 7, 'x' || id % 3, cast(id as string)) as key")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        modeltests._duplicated(keys).explain()
+        plan = capsys.readouterr().out
+        assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+        single = keys.distinct()
+        assert modeltests._duplicated(single).count() == 0
+        assert sorted(r.key for r in modeltests._duplicated(keys.union(keys.limit(0))).collect()) == []
+        repeated = keys.union(keys.filter("key like 'x%'"))
+        for few in (modeltests.FEW, 1):
+            monkeypatch.setattr(modeltests, "FEW", few)
+            assert sorted(r.key for r in modeltests._duplicated(repeated).collect()) == ["x0", "x1", "x2"]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 def test_key_counted_before_is_checked_with_the_row_rules(spark, capsys):
     rows = [("CUSTOMER-000001", "gold", 2), ("CUSTOMER-000001", "tin", 2), (None, "gold", 2), (None, None, 2), ("C", "gold", 1)]
     df = spark.createDataFrame(rows, "customer_id string, loyalty_tier string, n long")
