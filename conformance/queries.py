@@ -32,6 +32,9 @@ VOLATILE = ("_quarantine_time", "_quarantine_date")
 #: Column of silver tables about to be checked: how many rows have the row's key.
 ROWS = "_rows"
 
+#: Codec of landed files: takes less time than it saves, where gzip would take a third less room and more time.
+LANDED = "lz4"
+
 EVENT_CONTRACT = Contract.of(
     "events",
     ["event_id"],
@@ -226,10 +229,11 @@ def bronze_lineage(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def bronze_ingest_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both layers stay on disk whole, so both are written compressed."""
     lake, base = Lake(spark, sf_dir), scratch_folder(spark, "bronze")
     landed = {f"{base}/landing/{file}": lake.text(entity) for entity, file in SOURCE_FILES.items()}
-    tables.side_by_side(spark, [partial(landing.write_csv, text, path) for path, text in landed.items()])
-    audit = ingest_all(spark, f"{base}/landing", f"{base}/bronze")
+    tables.side_by_side(spark, [partial(landing.write_csv, text, path, LANDED) for path, text in landed.items()])
+    audit = ingest_all(spark, f"{base}/landing", f"{base}/bronze", options={"compression": "zstd"})
     return audit.select("source_name", "row_count", "column_count")
 
 

@@ -48,12 +48,13 @@ def ingest(
     path: str,
     bronze_base: str,
     fmt: str = "parquet",
+    options: Mapping[str, str] | None = None,
 ) -> Ingested:
-    """Read one landed source, add lineage, write its bronze table; rows are counted on the way."""
+    """Read one landed source, add lineage, write its bronze table with the ``options`` of the format; rows are counted on the way."""
     at = datetime.now(tz=timezone.utc)
     bronze = with_lineage(read_csv(spark, path), name, at)
     target = table_path(bronze_base, name)
-    rows = write_table(bronze, target, fmt)
+    rows = write_table(bronze, target, fmt, options=options)
     return Ingested(name, path, target, rows, len(bronze.columns), at.isoformat())
 
 
@@ -63,10 +64,11 @@ def ingest_all(
     bronze_base: str,
     sources: Mapping[str, str] = SOURCE_FILES,
     fmt: str = "parquet",
+    options: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """Ingest every source, some side by side; the audit has one row per source, in the order given."""
     jobs = [
-        partial(ingest, spark, name, table_path(landing_base, file), bronze_base, fmt)
+        partial(ingest, spark, name, table_path(landing_base, file), bronze_base, fmt, options)
         for name, file in sources.items()
     ]
     done = side_by_side(spark, jobs)

@@ -90,13 +90,14 @@ def _reason(record: Column, fields: int) -> Column:
     )
 
 
-def write_csv(df: DataFrame, path: str) -> str:
+def write_csv(df: DataFrame, path: str, compression: str = "none") -> str:
     """Write CSV that ``read_csv`` reads back. NULL and empty text both become empty fields, and are
     read back as NULL. A task writes several files if it has many rows: they are read whole, and packed into tasks
-    of even size."""
+    of even size. ``compression`` is a codec of Spark's CSV source; the reader tells it by the names of the files, and as a task reads
+    whole files anyway, compressed ones are read by as many tasks."""
     # Unlike the reader, the writer trims values unless told not to.
     whole = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
-    whole["maxRecordsPerFile"] = ROWS_PER_FILE
+    whole |= {"maxRecordsPerFile": ROWS_PER_FILE, "compression": compression}
     df.write.mode("overwrite").options(**CSV_OPTIONS, **whole).csv(path)
     return path
 

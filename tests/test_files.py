@@ -229,6 +229,14 @@ def test_csv_is_written_as_it_is_read(spark, tmp_path):
     assert sorted(map(tuple, back.collect()), key=str) == [('a "b"\n,c', None), (None, "x")]
 
 
+def test_compressed_csv_is_read_back(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(landing, "ROWS_PER_FILE", 2)
+    rows = spark.createDataFrame(AWKWARD[1:], "id string, address string, note string").coalesce(1)
+    path = landing.write_csv(rows, str(tmp_path / "notes.csv"), "lz4")
+    assert [f.suffix for f in (tmp_path / "notes.csv").glob("part-*")] == [".lz4"] * 2
+    assert found(read_csv(spark, path)) == WANTED
+
+
 def test_a_task_with_many_rows_lands_several_csv_files(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(landing, "ROWS_PER_FILE", 10)
     rows = spark.range(25).selectExpr("cast(id as string) as id", "'a,\n\"b\"' as note").coalesce(1)

@@ -5,6 +5,7 @@ import pytest
 from conformance import lake as lakes, queries
 from conformance.lake import DERIVED, Lake
 from shelfstrata.operators.dedup import columns_behind, keep_latest
+from shelfstrata.plans.bronze import SOURCE_FILES
 
 # Order lines have repeated ids, with other products and amounts; one product is missing.
 STAR = {
@@ -29,6 +30,15 @@ def star(spark, tmp_path_factory):
     return str(folder)
 
 
+def test_ingest_audit_leaves_compressed_files(spark, star, tmp_path, monkeypatch):
+    monkeypatch.setattr(queries, "scratch_folder", lambda _spark, _purpose: str(tmp_path))
+    audit = queries.bronze_ingest_audit(spark, star).collect()
+    assert {r.source_name: r.row_count for r in audit} == dict.fromkeys(SOURCE_FILES, 20)
+    landed = list(tmp_path.glob("landing/*/part-*"))
+    assert {f.parent.name for f in landed} == set(SOURCE_FILES.values()) and {f.suffix for f in landed} == {".lz4"}
+    assert all(".zstd." in f.name for f in tmp_path.glob("bronze/*/part-*"))
+
+
 def test_columns_behind_the_wanted_ones_decide_as_all_do(spark):
     schema = "a string, k string, b int, t int, c int"
     rows = [("x", "1", 1, 5, 1), ("x", "1", 2, 5, 0), ("y", "1", None, 5, 9), ("z", "1", 9, None, 9), ("q", "2", 1, 1, 1),
