@@ -59,9 +59,11 @@ def test_models_cut_down_are_those_built_whole(spark, star, model):
     # Columns that nothing shared is taken for are looked at together.
     groups: list[dict] = []
     for column, taken in {plain: (plain,), **DERIVED[model]}.items():
-        apart = (g for g in groups if not {*taken} & {t for others in g.values() for t in others})
-        next(apart, groups.append({}) or groups[-1])[column] = taken
-    for group in [g for g in groups if g]:
+        apart = [g for g in groups if not {*taken} & {t for others in g.values() for t in others}]
+        if not apart:
+            groups.append({})
+        (apart or groups)[-1][column] = taken
+    for group in groups:
         read = [c for c in whole.columns if c in group]
         cut = Lake(spark, star).models({model: {*read}}, {model: 2})[model]
         rows = sorted(whole.select(read).collect(), key=str)
